@@ -36,6 +36,12 @@ def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction"
     return df.agg(n.alias("n_rows"), rmse.alias("rmse"), r2.alias("r2"))
 
 
+def regression_metrics_by(df: DataFrame, group: str, label: str, prediction: str = "prediction") -> DataFrame:
+    """The same measures per group, such as per part of a split."""
+    n, rmse, r2 = _measures(F.col(label), F.col(prediction))
+    return df.groupBy(group).agg(n.alias("n_rows"), rmse.alias("rmse"), r2.alias("r2"))
+
+
 def compare_predictions(df: DataFrame, label: str, predictions: Mapping[str, str]) -> DataFrame:
     """(model, n_rows, rmse, r2) for several prediction columns of one frame, in one pass."""
     parts: list[Column] = []

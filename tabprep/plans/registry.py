@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from tabprep.plans import (  # noqa: F401  (imported for their registrations)
     cleaning_queries,
+    feature_queries,
+    model_queries,
     profile_queries,
     scan_queries,
 )
