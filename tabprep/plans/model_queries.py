@@ -11,10 +11,11 @@ from tabprep.operators.split import assign_parts, split_parts
 from tabprep.operators.tracking import RunLog
 from tabprep.plans import roles
 from tabprep.plans.catalog import query, table
+from tabprep.plans.cleaning_queries import CLEAN_LISTINGS_SQL, cleaned_listings
 from tabprep.plans.oracles import coefficient_sql, least_squares_sql, metrics_sql
-from tabprep.plans.roles import DEAL_LABEL, DEAL_NUMBERS, DEALS_SQL, SPLIT_KEYS
+from tabprep.plans.roles import DEAL_LABEL, DEAL_NUMBERS, DEALS_SQL, SPLIT_KEYS, hash_share_sql
 from tabprep.session import shared_path
-from tabprep.sources.tables import kept
+from tabprep.sources.tables import kept, overwrite_table, read_table
 
 KEYS_SQL = ", ".join(SPLIT_KEYS)
 ALL_ROLES = ColumnRoles(["l_returnflag", "l_linestatus", "size_band"], DEAL_NUMBERS)
@@ -292,3 +293,32 @@ def model_roundtrip(spark, folder):
     return again.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prediction") == F.col("first")).alias("n_equal")
     ).withColumn("n_examples", n_examples)
+
+
+# Clean, split, fit on the imputed table, and measure against the baselines.
+_RENTAL_SQL = f"""{CLEAN_LISTINGS_SQL}, rental AS (
+  SELECT *, CASE WHEN {hash_share_sql([f"CAST({k} AS BIGINT)" for k in SPLIT_KEYS])} < CAST(0.8 AS DOUBLE)
+            THEN 'train' ELSE 'test' END AS part FROM cleaned),
+ line AS (SELECT regr_slope(price, rooms) AS slope, regr_intercept(price, rooms) AS intercept,
+                 avg(price) AS mean_price, median(price) AS median_price FROM rental WHERE part = 'train'),
+ lined AS (SELECT rental.*, intercept + slope * rooms AS line_prediction, mean_price, median_price
+           FROM rental, line WHERE part = 'test')"""
+
+
+@query(
+    "clean_split_fit",
+    f"WITH {_RENTAL_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS model, {metrics_sql('lined', 'price', column)}"
+        for name, column in (("mean", "mean_price"), ("median", "median_price"), ("line", "line_prediction"))
+    ),
+)
+def flagship(spark, folder):
+    """From currency text to a model measured against its baselines."""
+    path = overwrite_table(cleaned_listings(spark, folder), shared_path(spark, "rental"))
+    rental = read_table(spark, path).withColumns({k: F.col(k).cast("long") for k in SPLIT_KEYS})
+    train, test = split_parts(rental.select(*SPLIT_KEYS, "rooms", "price"), SPLIT_KEYS)
+    model = models.fit_stages(train, features.assembler_stage(["rooms"]), models.linear_regression("price"))
+    scored = models.score(model, evaluate.add_baselines(train, test, "price"))
+    predictions = {"mean": "mean_prediction", "median": "median_prediction", "line": "prediction"}
+    return rounded_metrics(evaluate.compare_predictions(scored, "price", predictions))

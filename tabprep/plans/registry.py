@@ -7,8 +7,13 @@ from tabprep.plans import (  # noqa: F401  (imported for their registrations)
     feature_queries,
     model_queries,
     profile_queries,
+    registry_queries,
     scan_queries,
+    tracking_queries,
+    tuning_queries,
 )
 from tabprep.plans.catalog import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+from tabprep.plans.model_queries import flagship
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
