@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -10,14 +11,24 @@ from pyspark.sql import functions as F
 HASH_RANGE = 4294967296.0  # eight hexadecimal digits
 
 
-def unit_interval(keys: Sequence[Column], seed: int | str = 42) -> Column:
-    """A double in [0, 1) from md5 of seed and keys.
+def key_digest(keys: Sequence[Column], seed: int | str = 42) -> Column:
+    """md5 of seed and keys in hexadecimal.
 
     Unlike ``rand(seed)`` it does not depend on partition layout, so the same row
-    gets the same number in every job, retry and engine.
+    gets the same text in every job, retry and engine.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(HASH_RANGE)
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys]))
+
+
+def unit_interval(keys: Sequence[Column], seed: int | str = 42) -> Column:
+    """A double in [0, 1): the first eight digits of the digest as a share of their range."""
+    return F.conv(F.substring(key_digest(keys, seed), 1, 8), 16, 10).cast("long") / F.lit(HASH_RANGE)
+
+
+def digest_below(digest: Column, share: float) -> Column:
+    """Whether the digest's ``unit_interval`` is below ``share``, without converting it to a number."""
+    bound = math.ceil(share * HASH_RANGE)
+    return F.lit(True) if bound >= HASH_RANGE else digest < F.lit(f"{bound:08x}")
 
 
 def uniform(u: Column, low: float, high: float) -> Column:

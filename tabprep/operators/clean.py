@@ -27,9 +27,12 @@ def clean_currency(df: DataFrame, column: str, symbols: str = "$,") -> DataFrame
 
 
 def filter_open_range(df: DataFrame, column: str, low: float = PRICE_LOW, high: float = PRICE_HIGH) -> DataFrame:
-    """Keep non-null values strictly between the bounds."""
+    """Keep values strictly between the bounds; null is not between anything.
+
+    No separate null test: Spark would parse a derived column once more for it.
+    """
     c = F.col(column)
-    return df.filter(c.isNotNull() & (c > low) & (c < high))
+    return df.filter((c > low) & (c < high))
 
 
 def filter_upper_bound(df: DataFrame, column: str, high: float = MAX_NIGHTS) -> DataFrame:

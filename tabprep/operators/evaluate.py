@@ -16,9 +16,13 @@ from tabprep.sources.tables import rows_frame
 def add_baselines(
     train: DataFrame, test: DataFrame, label: str, mean_column: str = "mean_prediction", median_column: str = "median_prediction"
 ) -> DataFrame:
-    """Predict the train mean and the exact train median for every test row."""
-    mean = train.agg(F.avg(label).alias("mean")).scalar()
-    return test.withColumns({mean_column: mean, median_column: F.lit(median(train, label)).cast("double")})
+    """Predict the train mean and the exact train median for every test row.
+
+    Both are found right away, so ``train`` may be a frame that is only kept for a while.
+    """
+    mean = train.agg(F.avg(label)).first()[0]
+    values = {mean_column: mean, median_column: median(train, label)}
+    return test.withColumns({name: F.lit(value).cast("double") for name, value in values.items()})
 
 
 def _measures(label: Column, prediction: Column) -> tuple[Column, Column, Column]:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tabprep.functions.columns import ColumnRoles
 from tabprep.operators.features import check_label_counts, encoding_stages, feature_names
 from tabprep.operators.profile import top_k
-from tabprep.sources.tables import rows_frame
+from tabprep.sources.tables import kept, rows_frame
 
 # Parameters of the boosted-tree model.
 BOOSTING = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 4, "seed": 42}
@@ -62,7 +62,7 @@ class Encoded:
 
 
 def encode(df: DataFrame, roles: ColumnRoles, one_hot: bool = False, handle_invalid: str = "skip") -> Encoded:
-    """Fit the encoding once; several models can then be fitted to the frame."""
+    """Fit the encoding once; several models can then be fitted to the lazy frame."""
     check_label_counts(df, roles.categorical)
     encoder = Pipeline(stages=encoding_stages(roles, one_hot, handle_invalid)).fit(df)
     labels = [len(values) for values in encoder.stages[0].labelsArray] if roles.categorical else [0]
@@ -77,17 +77,20 @@ def with_enough_bins(estimator: Estimator, max_labels: int) -> Estimator:
 
 def fit_linear(df: DataFrame, roles: ColumnRoles, label: str, **params) -> PipelineModel:
     """Least squares on one-hot categories and numbers."""
-    encoded = encode(df, roles, one_hot=True)
-    return encoded.with_model(linear_regression(label, **params).fit(encoded.frame))
+    with kept(df.select(*roles.categorical, *roles.numeric, label)) as rows:
+        encoded = encode(rows, roles, one_hot=True)
+        return encoded.with_model(linear_regression(label, **params).fit(encoded.frame))
 
 
 def fit_trees(df: DataFrame, roles: ColumnRoles, estimator: Estimator) -> PipelineModel:
     """Any tree model on indexed categories and numbers, with bins to fit the categories."""
-    encoded = encode(df, roles)
-    return encoded.with_model(with_enough_bins(estimator, encoded.max_labels).fit(encoded.frame))
+    with kept(df.select(*roles.categorical, *roles.numeric, estimator.getLabelCol())) as rows:
+        encoded = encode(rows, roles)
+        return encoded.with_model(with_enough_bins(estimator, encoded.max_labels).fit(encoded.frame))
 
 
 def fit_stages(df: DataFrame, *stages) -> PipelineModel:
+    """Any stages as a pipeline; wrap a frame in ``kept`` first when several of them learn from it."""
     return Pipeline(stages=list(stages)).fit(df)
 
 
@@ -134,9 +137,10 @@ def load_model(path: str) -> PipelineModel:
 
 
 def estimator_params(model: PipelineModel) -> dict[str, str]:
-    """Every set or default parameter of every stage, as ``stage.parameter`` and text."""
+    """Set and default parameters of every stage, as ``position.stage.parameter`` and text."""
     return {
         f"{i}.{type(stage).__name__}.{param.name}": str(value)
         for i, stage in enumerate(model.stages)
         for param, value in stage.extractParamMap().items()
+        if stage.uid not in str(value)  # default column names hold a random identifier
     }

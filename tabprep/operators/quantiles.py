@@ -7,6 +7,8 @@ on and inside the bracket and goes on with the rows inside, which are fewer by
 a factor of thousands. Once few enough rows are left, one more aggregate picks
 the exact element. Every pass is one map-side combined aggregate over all
 columns and ranks at once; only a handful of numbers per rank reach the driver.
+A table of up to ``EXACT_ROWS`` rows takes two passes, a larger one three, and
+one beyond about ten thousand times that size five.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ from pyspark.sql import functions as F
 from tabprep.functions.columns import present
 
 # With accuracy well above the number of rows the sketch drops nothing, so its answer is exact.
-EXACT_ROWS = 200_000
-EXACT_ACCURACY = 1_000_000
+EXACT_ROWS = 1_000_000
+EXACT_ACCURACY = 10_000_000
 BRACKET_ACCURACY = 10_000
+BRACKET_MARGIN = 1.5 / BRACKET_ACCURACY
 
 
 @dataclass
@@ -36,6 +39,7 @@ class _Search:
     rows: int
     low: float | None = None
     high: float | None = None
+    bracket: tuple[float, float] | None = None
     answer: float | None = None
 
     def inside(self, value: Column) -> Column:
@@ -51,18 +55,38 @@ class _Search:
         return (self.rank - 0.5) / self.rows
 
 
-def _narrow(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search]) -> None:
-    margin = 1.5 / BRACKET_ACCURACY
-    sketches = []
+def _around(share: float) -> list[float]:
+    return [max(share - BRACKET_MARGIN, 0.0), min(share + BRACKET_MARGIN, 1.0)]
+
+
+def _sketch(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search], bracket: bool) -> None:
+    """One aggregate: per interval one sketch, asked for the bracket or the answer of all its searches."""
+    intervals: dict[tuple, list[_Search]] = defaultdict(list)
     for s in searches:
-        v = values[s.column]
-        shares = [max(s.share - margin, 0.0), min(s.share + margin, 1.0)]
-        sketches.append(F.percentile_approx(F.when(s.inside(v), v), shares, BRACKET_ACCURACY))
-    brackets = df.agg(*[x.alias(f"b{i}") for i, x in enumerate(sketches)]).first()
+        intervals[(s.column, s.low, s.high)].append(s)
+    asked = []
+    for group in intervals.values():
+        v = values[group[0].column]
+        shares = [share for s in group for share in (_around(s.share) if bracket else [s.share])]
+        accuracy = BRACKET_ACCURACY if bracket else EXACT_ACCURACY
+        asked.append(F.percentile_approx(F.when(group[0].inside(v), v), shares, accuracy))
+    row = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(asked)]).first()
+    for found, group in zip(row, intervals.values()):
+        for i, s in enumerate(group):
+            if bracket:
+                s.bracket = (found[2 * i], found[2 * i + 1])
+            else:
+                s.answer = found[i]
 
+
+def _narrow(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search]) -> None:
+    """Count the rows around each bracket and keep the side that holds the wanted rank.
+
+    Correct for any bracket; a good one merely leaves few rows.
+    """
     counts = []
-    for i, s in enumerate(searches):
-        v, (a, b) = values[s.column], brackets[i]
+    for s in searches:
+        v, (a, b) = values[s.column], s.bracket
         inside = s.inside(v)
         counts += [
             F.count_if(inside & (v < a)),
@@ -73,7 +97,7 @@ def _narrow(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Sea
     found = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first()
 
     for i, s in enumerate(searches):
-        a, b = brackets[i]
+        (a, b), s.bracket = s.bracket, None
         below, on_a, between, on_b = found[4 * i : 4 * i + 4]
         if s.rank <= below:
             s.rows, s.high = below, a
@@ -88,42 +112,36 @@ def _narrow(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Sea
             s.rank, s.rows, s.low = s.rank - skipped, s.rows - skipped, b
 
 
-def _finish(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search]) -> None:
-    groups: dict[tuple, list[_Search]] = defaultdict(list)
-    for s in searches:
-        groups[(s.column, s.low, s.high)].append(s)
-    picks = []
-    for group in groups.values():
-        v = values[group[0].column]
-        shares = [s.share for s in group]
-        picks.append(F.percentile_approx(F.when(group[0].inside(v), v), shares, EXACT_ACCURACY))
-    row = df.agg(*[p.alias(f"p{i}") for i, p in enumerate(picks)]).first()
-    for i, group in enumerate(groups.values()):
-        for s, value in zip(group, row[i]):
-            s.answer = value
-
-
-def order_statistics(
-    df: DataFrame, ranks: Mapping[str, Sequence[int]], rows: Mapping[str, int], exact_rows: int = EXACT_ROWS
-) -> dict[tuple[str, int], float]:
-    """The k-th smallest non-missing value per column and k (from 1); ``rows`` counts those values."""
-    values = {name: present(df, name).cast("double") for name in ranks}
-    searches = {(name, k): _Search(name, k, rows[name]) for name, ks in ranks.items() for k in ks}
-    while True:
-        wide = [s for s in searches.values() if s.answer is None and s.rows > exact_rows]
-        if not wide:
-            break
+def _resolve(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search], exact_rows: int) -> None:
+    while wide := [s for s in searches if s.answer is None and s.rows > exact_rows]:
+        if unbracketed := [s for s in wide if s.bracket is None]:
+            _sketch(df, values, unbracketed, bracket=True)
         _narrow(df, values, wide)
-    last = [s for s in searches.values() if s.answer is None]
-    if last:
-        _finish(df, values, last)
-    return {key: s.answer for key, s in searches.items()}
+    if last := [s for s in searches if s.answer is None]:
+        _sketch(df, values, last, bracket=False)
+
+
+def _first_look(
+    df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float]
+) -> dict[str, tuple[int, list[tuple[float, float]] | None]]:
+    """Per column the number of values and a bracket per probability, in one pass."""
+    shares = [share for p in probabilities for share in _around(p)]
+    parts = [x for v in values.values() for x in (F.count(v), F.percentile_approx(v, shares, BRACKET_ACCURACY))]
+    row = df.agg(*[x.alias(f"x{i}") for i, x in enumerate(parts)]).first()
+    return {
+        name: (row[2 * i], list(zip(row[2 * i + 1][::2], row[2 * i + 1][1::2])) if row[2 * i] else None)
+        for i, name in enumerate(values)
+    }
 
 
-def count_present(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    """Non-missing values per column, in one pass."""
-    row = df.agg(*[F.count(present(df, n)).alias(f"n{i}") for i, n in enumerate(columns)]).first()
-    return dict(zip(columns, row))
+def _position(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
+    """Ranks (from 1) of the element or of the two neighbours, and the weight of the second."""
+    if not interpolate:
+        k = max(1, math.ceil(p * n))
+        return k, k, 0.0
+    exact = p * (n - 1)
+    k = math.floor(exact)
+    return k + 1, min(k + 2, n), exact - k
 
 
 def exact_quantiles(
@@ -138,26 +156,25 @@ def exact_quantiles(
     Without ``interpolate`` the result is an element of the column (the smallest
     whose cumulative share reaches p); with it, neighbours are blended linearly.
     """
-    rows = count_present(df, columns)
-
-    def position(n: int, p: float) -> tuple[int, int, float]:
-        if not interpolate:
-            k = max(1, math.ceil(p * n))
-            return k, k, 0.0
-        exact = p * (n - 1)
-        k = math.floor(exact)
-        return k + 1, min(k + 2, n), exact - k
-
-    wanted = {name: [position(rows[name], p) for p in probabilities] for name in columns if rows[name]}
-    ranks = {name: sorted({k for lo, hi, _ in ps for k in (lo, hi)}) for name, ps in wanted.items()}
-    found = order_statistics(df, ranks, rows, exact_rows) if ranks else {}
-
-    def blend(name: str, lo: int, hi: int, weight: float) -> float:
-        a, b = found[(name, lo)], found[(name, hi)]
+    values = {name: present(df, name).cast("double") for name in columns}
+    looked = _first_look(df, values, probabilities)
+    searches: dict[tuple[str, int], _Search] = {}
+    places: dict[str, list[tuple[int, int, float]]] = {}
+    for name, (n, brackets) in looked.items():
+        if not n:
+            continue
+        places[name] = [_position(n, p, interpolate) for p in probabilities]
+        for (low, high, _), bracket in zip(places[name], brackets):
+            for k in (low, high):
+                searches.setdefault((name, k), _Search(name, k, n, bracket=bracket))
+    _resolve(df, values, list(searches.values()), exact_rows)
+
+    def blend(name: str, low: int, high: int, weight: float) -> float:
+        a, b = searches[(name, low)].answer, searches[(name, high)].answer
         return a if weight == 0.0 else a + (b - a) * weight
 
     return {
-        name: [blend(name, *p) for p in wanted[name]] if name in wanted else [None] * len(probabilities)
+        name: [blend(name, *place) for place in places[name]] if name in places else [None] * len(probabilities)
         for name in columns
     }
 

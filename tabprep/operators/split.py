@@ -8,13 +8,18 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.functions.hashing import unit_interval
+from tabprep.functions.hashing import digest_below, key_digest
 
 SEED = 42
 
 
-def _hash_share(df: DataFrame, keys: Sequence[str], seed: int | str) -> Column:
-    return unit_interval([F.col(k) for k in keys], seed)
+def _label(keys: Sequence[str], seed: int | str, labels: Sequence, bounds: Sequence[float]) -> Column:
+    """The first label whose cumulative bound lies above the row's hash share."""
+    digest = key_digest([F.col(k) for k in keys], seed)
+    label = F.lit(labels[-1])
+    for name, bound in reversed(list(zip(labels[:-1], bounds[:-1]))):
+        label = F.when(digest_below(digest, bound), F.lit(name)).otherwise(label)
+    return label
 
 
 def assign_parts(
@@ -34,11 +39,7 @@ def assign_parts(
         raise ValueError("one weight per part name")
     total = sum(weights)
     bounds = [edge / total for edge in accumulate(weights)]
-    u = _hash_share(df, keys, seed)
-    part = F.lit(names[-1])
-    for name, bound in reversed(list(zip(names[:-1], bounds[:-1]))):
-        part = F.when(u < F.lit(bound), name).otherwise(part)
-    return df.withColumn(column, part)
+    return df.withColumn(column, _label(keys, seed, names, bounds))
 
 
 def split_parts(
@@ -66,5 +67,5 @@ def assign_folds(
     The seed is told apart from that of ``assign_parts``: folds of a train part
     would otherwise be unequal, because the part fixed the same hash already.
     """
-    u = _hash_share(df, keys, f"{seed}-fold")
-    return df.withColumn(column, F.floor(u * F.lit(float(folds))).cast("int"))
+    bounds = [(i + 1) / folds for i in range(folds)]
+    return df.withColumn(column, _label(keys, f"{seed}-fold", list(range(folds)), bounds))

@@ -33,7 +33,7 @@ def rounded_metrics(df: DataFrame) -> DataFrame:
 
 
 # One numeric feature: slope and intercept in closed form.
-_LINE_SQL = f"""{DEALS_SQL}, line AS (
+LINE_SQL = f"""{DEALS_SQL}, line AS (
   SELECT regr_slope(net_price, l_quantity) AS slope, regr_intercept(net_price, l_quantity) AS intercept,
          avg(net_price) AS mean_price, median(net_price) AS median_price FROM deals WHERE part = 'train'),
  lined AS (
@@ -41,15 +41,21 @@ _LINE_SQL = f"""{DEALS_SQL}, line AS (
   FROM deals, line WHERE part = 'test')"""
 
 
-def single_feature_fit(train: DataFrame):
-    return models.fit_stages(
-        train, features.assembler_stage(["l_quantity"]), models.linear_regression(DEAL_LABEL)
-    )
+def single_feature_fit(train: DataFrame, feature: str = "l_quantity", label: str = DEAL_LABEL):
+    return models.fit_stages(train, features.assembler_stage([feature]), models.linear_regression(label))
+
+
+def compare_line_with_baselines(train: DataFrame, test: DataFrame, feature: str, label: str) -> DataFrame:
+    """Mean, median and a one-feature line, measured in one pass over the test part."""
+    with kept(train.select(feature, label)) as rows:
+        scored = models.score(single_feature_fit(rows, feature, label), evaluate.add_baselines(rows, test, label))
+    predictions = {"mean": "mean_prediction", "median": "median_prediction", "line": "prediction"}
+    return evaluate.compare_predictions(scored, label, predictions)
 
 
 @query(
     "baseline_predict",
-    f"""WITH {_LINE_SQL} SELECT {KEYS_SQL}, round(mean_price, 4) AS mean_prediction,
+    f"""WITH {LINE_SQL} SELECT {KEYS_SQL}, round(mean_price, 4) AS mean_prediction,
         round(median_price, 6) AS median_prediction FROM lined""",
 )
 def baseline_predict(spark, folder):
@@ -62,7 +68,7 @@ def baseline_predict(spark, folder):
     )
 
 
-@query("ols_single", f"WITH {_LINE_SQL} SELECT {metrics_sql('lined', 'net_price', 'line_prediction')}")
+@query("ols_single", f"WITH {LINE_SQL} SELECT {metrics_sql('lined', 'net_price', 'line_prediction')}")
 def ols_single(spark, folder):
     train, test = train_test(spark, folder)
     scored = models.score(single_feature_fit(train), test)
@@ -71,7 +77,7 @@ def ols_single(spark, folder):
 
 @query(
     "ols_coefficients",
-    f"""WITH {_LINE_SQL} SELECT 0 AS position, 'l_quantity' AS feature, round(slope, 4) AS coefficient FROM line
+    f"""WITH {LINE_SQL} SELECT 0 AS position, 'l_quantity' AS feature, round(slope, 4) AS coefficient FROM line
         UNION ALL SELECT 1, '(intercept)', round(intercept, 4) FROM line""",
 )
 def ols_coefficients(spark, folder):
@@ -132,11 +138,9 @@ def ols_formula(spark, folder):
     """The same fit from a formula over all columns."""
     names = [*FEW_ROLES.categorical, *FEW_ROLES.numeric, DEAL_LABEL]
     train, test = (part.select(*names) for part in train_test(spark, folder))
-    model = models.fit_stages(
-        train,
-        features.formula_stage(f"{DEAL_LABEL} ~ .", label=DEAL_LABEL, handle_invalid="skip"),
-        models.linear_regression(DEAL_LABEL),
-    )
+    formula = features.formula_stage(f"{DEAL_LABEL} ~ .", label=DEAL_LABEL, handle_invalid="skip")
+    with kept(train) as rows:
+        model = models.fit_stages(rows, formula, models.linear_regression(DEAL_LABEL))
     return rounded_metrics(evaluate.regression_metrics(models.score(model, test), DEAL_LABEL))
 
 
@@ -166,24 +170,28 @@ def eval_regression(spark, folder):
     return rounded_metrics(evaluate.regression_metrics(rows, "l_extendedprice"))
 
 
+# Area under the curve from average ranks, over (high, r).
+AREA_SQL = """count(*) AS n_rows, count(*) FILTER (high) AS n_positive,
+  round((sum(r) FILTER (high) - CAST(count(*) FILTER (high) AS DOUBLE) * (count(*) FILTER (high) + 1) / 2)
+        / (CAST(count(*) FILTER (high) AS DOUBLE) * count(*) FILTER (NOT high)), 6) AS area_under_roc"""
+
+
 @query(
     "eval_auc",
     f"""WITH {DEALS_SQL}, marked AS (SELECT l_quantity AS score, net_price >= {HIGH_PRICE} AS high FROM deals),
         ranked AS (SELECT high, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM marked)
-        SELECT count(*) AS n_rows, count(*) FILTER (high) AS n_positive,
-               round((sum(r) FILTER (high) - CAST(count(*) FILTER (high) AS DOUBLE) * (count(*) FILTER (high) + 1) / 2)
-                     / (CAST(count(*) FILTER (high) AS DOUBLE) * count(*) FILTER (NOT high)), 8) AS area_under_roc FROM ranked""",
+        SELECT {AREA_SQL} FROM ranked""",
 )
 def eval_auc(spark, folder):
     high = (F.col(DEAL_LABEL) >= HIGH_PRICE).cast("double")
     marked = roles.deals(spark, folder).select(high.alias("high"), F.col("l_quantity").alias("score"))
     found = evaluate.roc_frame(marked, "high", "score")
-    return found.withColumn("area_under_roc", F.round("area_under_roc", 8))
+    return found.withColumn("area_under_roc", F.round("area_under_roc", 6))
 
 
 @query(
     "model_comparison",
-    f"WITH {_LINE_SQL} "
+    f"WITH {LINE_SQL} "
     + " UNION ALL ".join(
         f"SELECT '{name}' AS model, {metrics_sql('lined', 'net_price', column)}"
         for name, column in (("mean", "mean_price"), ("median", "median_price"), ("line", "line_prediction"))
@@ -192,14 +200,12 @@ def eval_auc(spark, folder):
 def model_comparison(spark, folder):
     """A model against both baselines, measured in one pass over the test part."""
     train, test = train_test(spark, folder)
-    scored = models.score(single_feature_fit(train), evaluate.add_baselines(train, test, DEAL_LABEL))
-    predictions = {"mean": "mean_prediction", "median": "median_prediction", "line": "prediction"}
-    return rounded_metrics(evaluate.compare_predictions(scored, DEAL_LABEL, predictions))
+    return rounded_metrics(compare_line_with_baselines(train, test, "l_quantity", DEAL_LABEL))
 
 
 @query(
     "predictions_ranked",
-    f"""WITH {_LINE_SQL} SELECT {KEYS_SQL}, round(net_price, 6) AS net_price, round(line_prediction, 2) AS prediction FROM lined
+    f"""WITH {LINE_SQL} SELECT {KEYS_SQL}, round(net_price, 6) AS net_price, round(line_prediction, 2) AS prediction FROM lined
         WHERE line_prediction < 60000 AND net_price < 60000 ORDER BY net_price DESC""",
 )
 def predictions_ranked(spark, folder):
@@ -229,6 +235,32 @@ def tree_regression(spark, folder):
     return rounded_metrics(evaluate.regression_metrics_by(scored, "part", DEAL_LABEL))
 
 
+_CELL_TREES = {"maxDepth": CELL_DEPTH, "featureSubsetStrategy": "all"}
+
+
+@query("forest_cell_means", f"WITH {_CELLS_SQL} SELECT {metrics_sql("predicted WHERE part = 'test'", 'net_price')}")
+def forest_cell_means(spark, folder):
+    """A forest without resampling, grown until every cell is a leaf: the cell means once more."""
+    train, test = train_test(spark, folder)
+    forest = models.forest_regressor(DEAL_LABEL, numTrees=2, bootstrap=False, **_CELL_TREES)
+    scored = models.score(models.fit_trees(train, CELL_ROLES, forest), test)
+    return rounded_metrics(evaluate.regression_metrics(scored, DEAL_LABEL))
+
+
+_LOG_CELLS_SQL = f"""{DEALS_SQL}, cells AS (
+  SELECT size_band, l_linestatus, exp(avg(ln(net_price))) AS prediction FROM deals WHERE part = 'train' GROUP BY ALL),
+ predicted AS (SELECT net_price, prediction FROM deals JOIN cells USING (size_band, l_linestatus) WHERE part = 'test')"""
+
+
+@query("boosting_cell_means", f"WITH {_LOG_CELLS_SQL} SELECT {metrics_sql('predicted', 'net_price')}")
+def boosting_cell_means(spark, folder):
+    """Boosted trees of the log price that reach the cell means in the first round and stay there."""
+    train, test = (features.add_log(p, DEAL_LABEL, "label") for p in train_test(spark, folder))
+    boosted = models.boosted_trees("label", maxIter=2, **_CELL_TREES)
+    scored = models.score(models.fit_trees(train, CELL_ROLES, boosted), test)
+    return rounded_metrics(evaluate.log_scale_metrics(scored, DEAL_LABEL, "prediction"))
+
+
 def _default_tree(train: DataFrame):
     return models.fit_trees(train, ALL_ROLES, models.decision_tree(DEAL_LABEL))
 
@@ -260,8 +292,7 @@ def rf_classification(spark, folder):
     train, test = split_parts(rows.drop(DEAL_LABEL), SPLIT_KEYS)
     forest = models.forest_classifier("price_class", numTrees=10)
     scored = models.score(models.fit_trees(train, ALL_ROLES, forest), test)
-    with kept(scored.select("price_class", "rawPrediction")) as pairs:
-        return evaluate.roc_frame(pairs, "price_class")
+    return evaluate.roc_frame(scored, "price_class")
 
 
 @query("gbt_regression")
@@ -318,7 +349,4 @@ def flagship(spark, folder):
     path = overwrite_table(cleaned_listings(spark, folder), shared_path(spark, "rental"))
     rental = read_table(spark, path).withColumns({k: F.col(k).cast("long") for k in SPLIT_KEYS})
     train, test = split_parts(rental.select(*SPLIT_KEYS, "rooms", "price"), SPLIT_KEYS)
-    model = models.fit_stages(train, features.assembler_stage(["rooms"]), models.linear_regression("price"))
-    scored = models.score(model, evaluate.add_baselines(train, test, "price"))
-    predictions = {"mean": "mean_prediction", "median": "median_prediction", "line": "prediction"}
-    return rounded_metrics(evaluate.compare_predictions(scored, "price", predictions))
+    return rounded_metrics(compare_line_with_baselines(train, test, "rooms", "price"))

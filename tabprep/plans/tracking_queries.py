@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tabprep.operators import evaluate, models, tracking
 from tabprep.plans import roles
 from tabprep.plans.catalog import query, table
-from tabprep.plans.model_queries import FEW_ROLES, _LINE_SQL, single_feature_fit, train_test
+from tabprep.plans.model_queries import FEW_ROLES, LINE_SQL, compare_line_with_baselines, train_test
 from tabprep.plans.oracles import metrics_sql
 from tabprep.plans.roles import DEAL_LABEL
 from tabprep.session import shared_path
@@ -113,7 +113,7 @@ _LOGGED = (("mean", "mean_price", "none"), ("median", "median_price", "none"), (
 
 @query(
     "run_log",
-    f"WITH {_LINE_SQL} "
+    f"WITH {LINE_SQL} "
     + " UNION ALL ".join(
         f"SELECT 'deals' AS experiment, '{name}' AS run_name, 'net_price' AS param_label, '{used}' AS param_features, "
         f"rmse AS metric_rmse, r2 AS metric_r2 FROM (SELECT {metrics_sql('lined', 'net_price', column)})"
@@ -123,9 +123,7 @@ _LOGGED = (("mean", "mean_price", "none"), ("median", "median_price", "none"), (
 def run_log(spark, folder):
     """Three runs recorded, written, read back and pivoted."""
     train, test = train_test(spark, folder)
-    scored = models.score(single_feature_fit(train), evaluate.add_baselines(train, test, DEAL_LABEL))
-    predictions = {"mean": "mean_prediction", "median": "median_prediction", "line": "prediction"}
-    measured = evaluate.compare_predictions(scored, DEAL_LABEL, predictions)
+    measured = compare_line_with_baselines(train, test, "l_quantity", DEAL_LABEL)
     features = {name: used for name, _, used in _LOGGED}
     log = tracking.RunLog(spark, shared_path(spark, "run-log"))
     for row in measured.collect():  # one row per run

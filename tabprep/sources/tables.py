@@ -76,14 +76,28 @@ def _arrow_type(data_type: T.DataType) -> pa.DataType:
     return simple[type(data_type)]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a frame that has fewer partitions than the cluster has cores.
+
+    Meant for a frame that is read many times after one scan of few, large row
+    groups. A large table already has more partitions than cores and is left alone.
+    Rows are put in a fixed order within each partition, as they may arrive in any
+    order and seeded sampling in a fit depends on it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores).sortWithinPartitions(F.xxhash64(*df.columns))
+
+
 @contextmanager
 def kept(df: DataFrame):
     """Keep a frame in memory and on disk while an iterative fit reads it several times."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield df
+        yield held
     finally:
-        df.unpersist()
+        held.unpersist()
 
 
 def materialize(df: DataFrame) -> int:
