@@ -31,31 +31,28 @@ def impute_median(df: DataFrame, columns: Sequence[str], outputs: Mapping[str, s
 
 
 def column_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row (column_name, mode, n) per column: the most frequent value, the smallest one on ties.
+    """One row, one column each: the most frequent value, the smallest one on ties.
 
-    Counts are combined per value before the shuffle, and the best value of a
-    column is picked by another combined aggregate, so no task holds a column.
+    Counts are combined per value before the shuffle and the best value of each
+    task after it, so no task holds a column.
     """
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("column_name"), present(df, n).cast("double").alias("value")) for n in columns]
+        *[F.struct(F.lit(i).alias("position"), present(df, n).cast("double").alias("value")) for i, n in enumerate(columns)]
     )
     counted = (
         df.select(F.inline(pairs))
         .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
+        .groupBy("position", "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("candidate", F.struct(F.col("n"), (-F.col("value")).alias("negated")))
     )
-    # Highest count first, then the smallest value.
-    best = F.max(F.struct("n", (-F.col("value")).alias("negated")))
-    return counted.groupBy("column_name").agg(best.alias("best")).select(
-        "column_name", (-F.col("best.negated")).alias("mode"), F.col("best.n").alias("n")
-    )
+    best = [F.max(F.when(F.col("position") == i, F.col("candidate"))) for i in range(len(columns))]
+    return counted.agg(*[(-b.getField("negated")).alias(n) for b, n in zip(best, columns)])
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str], outputs: Mapping[str, str] | None = None) -> DataFrame:
-    """Fill with the most frequent value, the smallest one on ties."""
-    per_column = [F.max(F.when(F.col("column_name") == n, F.col("mode"))).alias(n) for n in columns]
-    modes = column_modes(df, columns).agg(F.struct(*per_column)).scalar()
+    """Fill with the most frequent value."""
+    modes = column_modes(df, columns).select(F.struct(*columns)).scalar()
     return _fill(df, {n: modes.getField(n) for n in columns}, outputs)
 
 

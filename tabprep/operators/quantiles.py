@@ -1,14 +1,17 @@
 """Exact order statistics of columns with any number of distinct values.
 
 Spark's ``median`` keeps every distinct value of the column in one task, and
-``percentile_approx`` is off by up to n/accuracy ranks. Here the approximate
-answer only brackets the exact one: each round counts how many rows lie below,
-on and inside the bracket and goes on with the rows inside, which are fewer by
-a factor of thousands. Once few enough rows are left, one more aggregate picks
-the exact element. Every pass is one map-side combined aggregate over all
-columns and ranks at once; only a handful of numbers per rank reach the driver.
-A table of up to ``EXACT_ROWS`` rows takes two passes, a larger one three, and
-one beyond about ten thousand times that size five.
+``percentile_approx`` is off by up to n/accuracy ranks. Here an approximate
+sketch only brackets the exact answer: each round counts how many rows lie
+below, on and inside the bracket and goes on with the rows inside, which are
+fewer by a factor of about a thousand. Once few enough rows are left, one more
+aggregate picks the exact element. Every pass is one map-side combined aggregate
+over all columns and ranks at once; only a handful of numbers per rank reach the
+driver. Up to ``EXACT_ROWS`` rows take two passes, a thousand times as many
+three, and every further factor of a thousand two more.
+
+Sketches of all map tasks are merged in two steps, so that with very many
+partitions no single task receives all of them.
 """
 
 from __future__ import annotations
@@ -26,8 +29,10 @@ from tabprep.functions.columns import present
 # With accuracy well above the number of rows the sketch drops nothing, so its answer is exact.
 EXACT_ROWS = 1_000_000
 EXACT_ACCURACY = 10_000_000
-BRACKET_ACCURACY = 10_000
-BRACKET_MARGIN = 1.5 / BRACKET_ACCURACY
+# Size parameter of the bracket sketch; its rank error is well below the margin put around a share.
+SKETCH_SIZE = 8_000
+BRACKET_MARGIN = 0.0005
+MERGE_GROUPS = 256
 
 
 @dataclass
@@ -59,24 +64,51 @@ def _around(share: float) -> list[float]:
     return [max(share - BRACKET_MARGIN, 0.0), min(share + BRACKET_MARGIN, 1.0)]
 
 
-def _sketch(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search], bracket: bool) -> None:
-    """One aggregate: per interval one sketch, asked for the bracket or the answer of all its searches."""
+def _merged_sketches(df: DataFrame, values: Sequence[Column]) -> DataFrame:
+    """One row with a KLL sketch ``s<i>`` per value column, merged by groups of partitions first."""
+    names = [f"s{i}" for i in range(len(values))]
+    grouped = df.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("_group")).agg(
+        *[F.kll_sketch_agg_double(v, F.lit(SKETCH_SIZE)).alias(n) for n, v in zip(names, values)]
+    )
+    return grouped.agg(*[F.kll_merge_agg_double(n).alias(n) for n in names])
+
+
+def _quantiles(sketch: str, shares: Sequence[float]) -> Column:
+    asked = F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, shares)))
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, asked)
+
+
+def _by_interval(searches: Sequence[_Search]) -> list[list[_Search]]:
     intervals: dict[tuple, list[_Search]] = defaultdict(list)
     for s in searches:
         intervals[(s.column, s.low, s.high)].append(s)
-    asked = []
-    for group in intervals.values():
-        v = values[group[0].column]
-        shares = [share for s in group for share in (_around(s.share) if bracket else [s.share])]
-        accuracy = BRACKET_ACCURACY if bracket else EXACT_ACCURACY
-        asked.append(F.percentile_approx(F.when(group[0].inside(v), v), shares, accuracy))
-    row = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(asked)]).first()
-    for found, group in zip(row, intervals.values()):
+    return list(intervals.values())
+
+
+def _inner_values(values: Mapping[str, Column], groups: Sequence[Sequence[_Search]]) -> list[Column]:
+    """The column values inside the interval of each group, null for other rows."""
+    return [F.when(g[0].inside(values[g[0].column]), values[g[0].column]) for g in groups]
+
+
+def _bracket(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search]) -> None:
+    groups = _by_interval(searches)
+    asked = [_quantiles(f"s{i}", [p for s in g for p in _around(s.share)]) for i, g in enumerate(groups)]
+    row = _merged_sketches(df, _inner_values(values, groups)).select(*asked).first()
+    for found, group in zip(row, groups):
         for i, s in enumerate(group):
-            if bracket:
-                s.bracket = (found[2 * i], found[2 * i + 1])
-            else:
-                s.answer = found[i]
+            s.bracket = (found[2 * i], found[2 * i + 1])
+
+
+def _pick(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search]) -> None:
+    """The exact elements of intervals that hold few rows."""
+    groups = _by_interval(searches)
+    picked = [
+        F.percentile_approx(v, [s.share for s in g], EXACT_ACCURACY) for v, g in zip(_inner_values(values, groups), groups)
+    ]
+    row = df.agg(*[x.alias(f"x{i}") for i, x in enumerate(picked)]).first()
+    for found, group in zip(row, groups):
+        for value, s in zip(found, group):
+            s.answer = value
 
 
 def _narrow(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search]) -> None:
@@ -115,21 +147,22 @@ def _narrow(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Sea
 def _resolve(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search], exact_rows: int) -> None:
     while wide := [s for s in searches if s.answer is None and s.rows > exact_rows]:
         if unbracketed := [s for s in wide if s.bracket is None]:
-            _sketch(df, values, unbracketed, bracket=True)
+            _bracket(df, values, unbracketed)
         _narrow(df, values, wide)
     if last := [s for s in searches if s.answer is None]:
-        _sketch(df, values, last, bracket=False)
+        _pick(df, values, last)
 
 
 def _first_look(
     df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float]
-) -> dict[str, tuple[int, list[tuple[float, float]] | None]]:
-    """Per column the number of values and a bracket per probability, in one pass."""
+) -> dict[str, tuple[int, list[tuple[float, float]]]]:
+    """Per column the exact number of values and a bracket per probability, in one pass."""
     shares = [share for p in probabilities for share in _around(p)]
-    parts = [x for v in values.values() for x in (F.count(v), F.percentile_approx(v, shares, BRACKET_ACCURACY))]
-    row = df.agg(*[x.alias(f"x{i}") for i, x in enumerate(parts)]).first()
+    sketches = _merged_sketches(df, list(values.values()))
+    asked = [x for i in range(len(values)) for x in (F.kll_sketch_get_n_double(f"s{i}"), _quantiles(f"s{i}", shares))]
+    row = sketches.select(*asked).first()
     return {
-        name: (row[2 * i], list(zip(row[2 * i + 1][::2], row[2 * i + 1][1::2])) if row[2 * i] else None)
+        name: (row[2 * i] or 0, list(zip(row[2 * i + 1][::2], row[2 * i + 1][1::2])) if row[2 * i] else [])
         for i, name in enumerate(values)
     }
 

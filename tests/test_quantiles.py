@@ -56,6 +56,15 @@ def test_a_bad_bracket_does_not_matter(spark, monkeypatch):
     assert quantiles.exact_quantiles(frame(spark, data), ["x"], [0.5], exact_rows=10)["x"] == [brute_element(data, 0.5)]
 
 
+def test_sketches_are_merged_by_groups(spark):
+    """No task gets the sketch of every partition: groups of partitions are merged before the end."""
+    df = spark.range(0, 1000, 1, 600).select(F.col("id").cast("double").alias("x"))
+    merged = quantiles._merged_sketches(df, [F.col("x")])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_group") == 1 and plan.count("Exchange SinglePartition") == 1
+    assert merged.select(F.kll_sketch_get_n_double("s0")).first()[0] == 1000
+
+
 def test_missing_values_do_not_count(spark):
     df = frame(spark, [1, 2, 3, 10, None, float("nan")])
     assert quantiles.median(df, "x") == 2.5
