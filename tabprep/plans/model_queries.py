@@ -13,6 +13,7 @@ from tabprep.plans import roles
 from tabprep.plans.catalog import query, table
 from tabprep.plans.cleaning_queries import CLEAN_LISTINGS_SQL, cleaned_listings
 from tabprep.plans.oracles import coefficient_sql, least_squares_sql, metrics_sql
+from tabprep.plans.promotion import promote_best
 from tabprep.plans.roles import DEAL_LABEL, DEAL_NUMBERS, DEALS_SQL, SPLIT_KEYS, hash_share_sql
 from tabprep.session import shared_path
 from tabprep.sources.tables import kept, overwrite_table, read_table
@@ -350,3 +351,35 @@ def flagship(spark, folder):
     rental = read_table(spark, path).withColumns({k: F.col(k).cast("long") for k in SPLIT_KEYS})
     train, test = split_parts(rental.select(*SPLIT_KEYS, "rooms", "price"), SPLIT_KEYS)
     return rounded_metrics(compare_line_with_baselines(train, test, "rooms", "price"))
+
+
+_LOG_FEW_SQL = least_squares_sql("deals", _FEW, "ln(net_price)", ["net_price"], prefix="g")
+_LOG_SCORED_SQL = f"{DEALS_SQL}, {_LOG_FEW_SQL}, scored AS (SELECT net_price, exp(prediction) AS p FROM g_fit WHERE NOT is_train)"
+
+
+@query("ols_formula_log", f"WITH {_LOG_SCORED_SQL} SELECT {metrics_sql('scored', 'net_price', 'p')}")
+def ols_formula_log(spark, folder):
+    """A formula that leaves the price out of the features of its own logarithm."""
+    names = [*FEW_ROLES.categorical, *FEW_ROLES.numeric, DEAL_LABEL]
+    train, test = (part.select(*names) for part in train_test(spark, folder))
+    formula = features.formula_stage(f"log_price ~ . - {DEAL_LABEL}", label="log_price", handle_invalid="skip")
+    with kept(features.add_log(train, DEAL_LABEL, "log_price")) as rows:
+        model = models.fit_stages(rows, formula, models.linear_regression("log_price", "log_prediction"))
+    scored = models.score(model, test)
+    return rounded_metrics(evaluate.log_scale_metrics(scored, DEAL_LABEL, "log_prediction"))
+
+
+@query(
+    "model_promotion",
+    f"""WITH {_FEW_SQL}, {_LOG_FEW_SQL}, scored AS (SELECT net_price, exp(prediction) AS p FROM g_fit WHERE NOT is_train),
+        measured AS (
+          SELECT CAST(1 AS BIGINT) AS version, '0' AS data_version, {metrics_sql('s_fit WHERE NOT is_train')}
+          UNION ALL SELECT CAST(2 AS BIGINT), '1', {metrics_sql('scored', 'net_price', 'p')})
+        SELECT version, CASE WHEN rmse = min(rmse) OVER () THEN 'Production' ELSE 'Archived' END AS stage,
+               data_version, rmse, r2 FROM measured""",
+)
+def model_promotion(spark, folder):
+    """Two versions of the train table, two tracked and registered models, the better one in production."""
+    names = [*FEW_ROLES.categorical, *FEW_ROLES.numeric, DEAL_LABEL]
+    train, test = (part.select(*names) for part in train_test(spark, folder))
+    return rounded_metrics(promote_best(spark, train, test, DEAL_LABEL, "net-price", shared_path(spark, "promotion")))
