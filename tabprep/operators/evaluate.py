@@ -7,10 +7,8 @@ from collections.abc import Mapping
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabprep.operators.quantiles import median
-from tabprep.sources.tables import rows_frame
 
 
 def add_baselines(
@@ -81,9 +79,3 @@ def roc_frame(df: DataFrame, label: str, score: str = "rawPrediction") -> DataFr
     """(n_rows, n_positive, area_under_roc)."""
     counts = df.agg(F.count(label).alias("n_rows"), F.count_if(F.col(label) == 1).alias("n_positive"))
     return counts.withColumn("area_under_roc", F.lit(area_under_roc(df, label, score)))
-
-
-def metric_rows(df: DataFrame, rows: list[tuple[str, float]]) -> DataFrame:
-    """(metric, value) rows of numbers that reached the driver one by one."""
-    schema = T.StructType([T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType())])
-    return rows_frame(df.sparkSession, rows, schema)

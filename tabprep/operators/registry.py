@@ -7,6 +7,8 @@ whole model), ``kind`` and ``value``. Current values are picked by combined
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ EVENTS = T.StructType(
         T.StructField("value", T.StringType()),
     ]
 )
+JOIN_SALTS = 8
 REGISTER, STAGE, DESCRIBE, DELETE = "register", "stage", "describe", "delete"
 
 
@@ -60,7 +63,9 @@ def versions(events: DataFrame) -> DataFrame:
         )
         .filter(F.col("registered").isNotNull())
     )
-    models = _models(events).withColumnRenamed("described", "model_described")
+    # One model may own a large share of all versions: its join is dealt out over several tasks.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1)))
+    models = _models(events).withColumnRenamed("described", "model_described").withColumn("_salt", salts)
     born = F.col("registered.seq")
 
     def since_birth(column: str) -> Column:
@@ -68,7 +73,8 @@ def versions(events: DataFrame) -> DataFrame:
 
     model_note_is_live = F.col("deleted_at").isNull() | (F.col("model_described.seq") > F.col("deleted_at"))
     return (
-        per_version.join(models, "name")
+        per_version.withColumn("_salt", (F.col("version") % JOIN_SALTS).cast("int"))
+        .join(models, ["name", "_salt"])
         .filter(F.col("deleted_at").isNull() | (born > F.col("deleted_at")))
         .select(
             "name",
@@ -94,6 +100,12 @@ def in_stage(events: DataFrame, stage: str) -> DataFrame:
     return versions(events).filter(F.col("stage") == stage)
 
 
+def _known_stage(stage: str) -> str:
+    if stage not in STAGES:
+        raise ValueError(f"unknown stage {stage!r}; one of {STAGES}")
+    return stage
+
+
 class ModelRegistry:
     """Appends events below ``root``. One writer at a time is assumed."""
 
@@ -109,33 +121,45 @@ class ModelRegistry:
                 raise
             return rows_frame(self.spark, [], EVENTS)
 
-    def _append(self, name: str, version: int | None, kind: str, value: str | None) -> None:
+    def _append(self, name: str, changes: Sequence[tuple[int | None, str, str | None]]) -> None:
+        """Add (version, kind, value) events in order, in one write."""
         last = self.events().agg(F.max("seq")).first()[0] or 0
-        row = (last + 1, name, version, kind, value)
-        rows_frame(self.spark, [row], EVENTS).coalesce(1).write.mode("append").parquet(self.path)
+        rows = [(last + i, name, *change) for i, change in enumerate(changes, start=1)]
+        rows_frame(self.spark, rows, EVENTS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def _require(self, name: str, wanted: Iterable[int]) -> None:
+        # Only the asked versions come back.
+        known = {r["version"] for r in self.search(name).filter(F.col("version").isin(*wanted)).collect()}
+        if missing := set(wanted) - known:
+            raise LookupError(f"no version {sorted(missing)} of {name}")
 
-    def register(self, name: str, source: str) -> int:
-        """Add the next version of a model and return its number."""
+    def register(self, name: str, source: str, stage: str | None = None, description: str | None = None) -> int:
+        """Add the next version of a model, in a stage and with a description if given; return its number."""
         row = latest_versions(self.events().filter(F.col("name") == name)).select("latest_version").first()
         version = 1 if row is None else row[0] + 1
-        self._append(name, version, REGISTER, source)
+        changes = [(version, REGISTER, source)]
+        if stage is not None:
+            changes.append((version, STAGE, _known_stage(stage)))
+        if description is not None:
+            changes.append((version, DESCRIBE, description))
+        self._append(name, changes)
         return version
 
-    def transition(self, name: str, version: int, stage: str) -> None:
-        if stage not in STAGES:
-            raise ValueError(f"unknown stage {stage!r}; one of {STAGES}")
-        self.get(name, version)
-        self._append(name, version, STAGE, stage)
+    def transition(self, name: str, stages: Mapping[int, str]) -> None:
+        """Move versions to stages, given as {version: stage}."""
+        changes = [(version, STAGE, _known_stage(stage)) for version, stage in stages.items()]
+        self._require(name, list(stages))
+        self._append(name, changes)
 
     def describe(self, name: str, description: str, version: int | None = None) -> None:
         """Describe a model, or one version of it."""
         if version is not None:
-            self.get(name, version)
-        self._append(name, version, DESCRIBE, description)
+            self._require(name, [version])
+        self._append(name, [(version, DESCRIBE, description)])
 
     def delete(self, name: str) -> None:
         """Remove a model with all its versions; a later registration starts at 1 again."""
-        self._append(name, None, DELETE, None)
+        self._append(name, [(None, DELETE, None)])
 
     def search(self, name: str) -> DataFrame:
         return versions(self.events().filter(F.col("name") == name))

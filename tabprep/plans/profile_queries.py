@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabprep.operators import profile, split
-from tabprep.plans import roles
 from tabprep.plans.catalog import query, table
 from tabprep.plans.cleaning_queries import KEYS, KEYS_SQL, priced
 from tabprep.plans.roles import PRICED_SQL, hash_share_sql

@@ -54,9 +54,7 @@ def promote_best(spark: SparkSession, train: DataFrame, test: DataFrame, label:
             {"rmse": measured["rmse"], "r2": measured["r2"]},
             model,
         )
-        version = registry.register(name, run)
-        registry.transition(name, version, "Staging")
-        registry.describe(name, f"all features, {target} as label", version)
+        registry.register(name, run, "Staging", f"all features, {target} as label")
     log.flush()
     registry.describe(name, "Forecasts prices from all other columns.")
 
@@ -64,8 +62,8 @@ def promote_best(spark: SparkSession, train: DataFrame, test: DataFrame, label:
     found = tracking.with_params(runs, data_path=f"{root}/train")
     by_version = tracking.best_runs(found, "param_data_version", "metric_rmse")
     best = by_version.orderBy("metric_rmse", "run_id").first()["run_id"]
-    for row in registry.search(name).select("version", "source").collect():  # one row per version
-        registry.transition(name, row["version"], "Production" if row["source"] == best else "Archived")
+    candidates = registry.search(name).select("version", "source").collect()  # one row per version
+    registry.transition(name, {r["version"]: "Production" if r["source"] == best else "Archived" for r in candidates})
 
     live = registered_versions(registry.events()).filter(F.col("name") == name)
     return live.join(runs, live["source"] == runs["run_id"]).select(

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.operators import evaluate, models, tracking
-from tabprep.plans import roles
 from tabprep.plans.catalog import query, table
 from tabprep.plans.model_queries import FEW_ROLES, LINE_SQL, compare_line_with_baselines, train_test
 from tabprep.plans.oracles import metrics_sql

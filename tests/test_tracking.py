@@ -53,12 +53,12 @@ def test_logged_model_comes_back_with_its_example(spark, root):
 def test_registry_life_cycle(spark, root):
     reg = registry.ModelRegistry(spark, root)
     assert reg.register("lr", "run-a") == 1
-    reg.transition("lr", 1, "Staging")
+    reg.transition("lr", {1: "Staging"})
     reg.describe("lr", "forecasts prices")
-    assert reg.register("lr", "run-b") == 2
+    assert reg.get("lr", 1)["stage"] == "Staging"
+    assert reg.register("lr", "run-b", "Staging", "first words") == 2
     reg.describe("lr", "log price", version=2)
-    reg.transition("lr", 2, "Production")
-    reg.transition("lr", 1, "Archived")
+    reg.transition("lr", {2: "Production", 1: "Archived"})
     rows = {r["version"]: r for r in reg.search("lr").collect()}
     assert {v: r["stage"] for v, r in rows.items()} == {1: "Archived", 2: "Production"}
     assert rows[2]["description"] == "log price" and rows[1]["description"] is None
@@ -66,7 +66,9 @@ def test_registry_life_cycle(spark, root):
     assert registry.latest_versions(reg.events()).first()["latest_version"] == 2
     assert [r["version"] for r in registry.in_stage(reg.events(), "Production").collect()] == [2]
     with pytest.raises(ValueError):
-        reg.transition("lr", 1, "Live")
+        reg.transition("lr", {1: "Live"})
+    with pytest.raises(LookupError):
+        reg.transition("lr", {1: "None", 3: "Staging"})
     with pytest.raises(LookupError):
         reg.get("lr", 3)
 
