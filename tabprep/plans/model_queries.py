@@ -248,6 +248,28 @@ def forest_cell_means(spark, folder):
     return rounded_metrics(evaluate.regression_metrics(scored, DEAL_LABEL))
 
 
+HIGH_VOLUME = 1000000.0
+_HALVES_SQL = f"""{DEALS_SQL}, halves AS (
+  SELECT part, CASE WHEN l_quantity <= 25 THEN 'small' ELSE 'large' END AS half,
+         l_extendedprice * l_quantity >= {HIGH_VOLUME} AS high FROM deals),
+ shares AS (SELECT half, CAST(count(*) FILTER (high) AS DOUBLE) / count(*) AS score FROM halves WHERE part = 'train' GROUP BY half),
+ scored AS (SELECT high, score FROM halves JOIN shares USING (half) WHERE part = 'test'),
+ ranked AS (SELECT high, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM scored)"""
+
+
+@query("forest_class_shares", f"WITH {_HALVES_SQL} SELECT {AREA_SQL} FROM ranked")
+def forest_class_shares(spark, folder):
+    """Two halves, mostly low and mostly high: the score of a row is the share of high volumes in its half."""
+    half = F.when(F.col("l_quantity") <= 25, "small").otherwise("large")
+    high = (F.col("l_extendedprice") * F.col("l_quantity") >= HIGH_VOLUME).cast("double")
+    rows = roles.deals(spark, folder).select(*SPLIT_KEYS, half.alias("half"), high.alias("price_class"))
+    train, test = split_parts(rows, SPLIT_KEYS)
+    forest = models.forest_classifier("price_class", numTrees=2, bootstrap=False, featureSubsetStrategy="all")
+    scored = models.score(models.fit_trees(train, ColumnRoles(["half"], []), forest), test)
+    found = evaluate.roc_frame(scored, "price_class", "probability")
+    return found.withColumn("area_under_roc", F.round("area_under_roc", 6))
+
+
 _LOG_CELLS_SQL = f"""{DEALS_SQL}, cells AS (
   SELECT size_band, l_linestatus, exp(avg(ln(net_price))) AS prediction FROM deals WHERE part = 'train' GROUP BY ALL),
  predicted AS (SELECT net_price, prediction FROM deals JOIN cells USING (size_band, l_linestatus) WHERE part = 'test')"""
@@ -272,6 +294,33 @@ def feature_importance(spark, folder):
     return models.feature_importances(_default_tree(train), train)
 
 
+# A tree of one split: all importance goes to the feature whose best cut of ordered categories explains most.
+_STUMP_SQL = f"""{DEALS_SQL}, counted AS (
+  SELECT 'l_returnflag_index' AS feature, l_returnflag AS label, count(*) AS n, sum(net_price) AS s
+  FROM deals WHERE part = 'train' GROUP BY l_returnflag
+  UNION ALL SELECT 'l_linestatus_index', l_linestatus, count(*), sum(net_price)
+  FROM deals WHERE part = 'train' GROUP BY l_linestatus),
+ cuts AS (
+  SELECT feature, CAST(sum(n) OVER up_to AS DOUBLE) AS nl, sum(s) OVER up_to AS sl,
+         CAST(sum(n) OVER whole AS DOUBLE) AS na, sum(s) OVER whole AS sa FROM counted
+  WINDOW up_to AS (PARTITION BY feature ORDER BY s / n), whole AS (PARTITION BY feature)),
+ gains AS (
+  SELECT feature, max(nl * (na - nl) / (na * na) * pow(sl / nl - (sa - sl) / (na - nl), 2)) AS gain
+  FROM cuts WHERE nl < na GROUP BY feature)"""
+
+
+@query(
+    "stump_importance",
+    f"""WITH {_STUMP_SQL} SELECT feature, CAST(CASE WHEN gain = max(gain) OVER () THEN 1 ELSE 0 END AS DOUBLE) AS importance
+        FROM gains""",
+)
+def stump_importance(spark, folder):
+    train, _ = train_test(spark, folder)
+    roles_used = ColumnRoles(["l_returnflag", "l_linestatus"], [])
+    model = models.fit_trees(train, roles_used, models.decision_tree(DEAL_LABEL, maxDepth=1))
+    return models.feature_importances(model, train).drop("position")
+
+
 @query("top_features")
 def top_features(spark, folder):
     train, _ = train_test(spark, folder)
