@@ -35,20 +35,20 @@ def path_of(url: Column) -> Column:
 
 def _fits(host: Column, path: Column, pattern: str) -> Column:
     domain, slash, rest = pattern.partition("/")
-    return ((host == domain) | host.endswith("." + domain)) & path.startswith(slash + rest)
+    return F.concat(F.lit("."), host).endswith("." + domain) & path.startswith(slash + rest)
 
 
-def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
-    """(pattern, action) of the longest fitting rule, both null if none fits.
+def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """Pattern of the longest fitting rule, null if none fits; of equal ones the first listed."""
+    ordered = sorted(rules, key=lambda r: -len(r[1]))
+    return F.coalesce(*[F.when(_fits(host, path, text), F.lit(text)) for _, text in ordered])
 
-    Of equally long patterns the first one listed wins.
-    """
-    pattern = action = F.lit(None).cast("string")
-    for verb, text in sorted(reversed(rules), key=lambda r: len(r[1])):
-        fits = _fits(host, path, text)
-        pattern = F.when(fits, F.lit(text)).otherwise(pattern)
-        action = F.when(fits, F.lit(verb)).otherwise(action)
-    return pattern, action
+
+def action_of(rule: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """``allow`` or ``block`` for a pattern, null for none. A pattern listed twice keeps its first action."""
+    verbs = {text: verb for verb, text in reversed(rules)}
+    names = {v: [t for t in verbs if verbs[t] == v] for v in ("block", "allow")}
+    return F.when(rule.isin(names["block"]), "block").when(rule.isin(names["allow"]), "allow")
 
 
 def alias_of(host: Column, path: Column) -> Column:
@@ -115,9 +115,9 @@ def judge_urls(pages: DataFrame, links: DataFrame, rules: Sequence[tuple[str, st
 
     def placed(frame: DataFrame, url: str) -> DataFrame:
         parts = frame.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
-        pattern, action = match_rule(F.col("host"), F.col("path"), rules)
-        return parts.withColumns(
-            {"rule": pattern, "verdict": action, node: alias_of(F.col("host"), F.col("path"))}
+        rule = match_rule(F.col("host"), F.col("path"), rules)
+        return parts.withColumns({"rule": rule, node: alias_of(F.col("host"), F.col("path"))}).withColumn(
+            "verdict", action_of(F.col("rule"), rules)
         )
 
     judged = placed(pages, "url")
