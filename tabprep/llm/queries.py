@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabprep.llm import mixing_queries, packing_queries, quality_queries, simhash_queries, url_queries
+from tabprep.llm import (
+    html_queries,
+    mixing_queries,
+    packing_queries,
+    quality_queries,
+    simhash_queries,
+    url_queries,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (url_queries, packing_queries, simhash_queries, quality_queries, mixing_queries)
+_MODULES = (url_queries, html_queries, packing_queries, simhash_queries, quality_queries, mixing_queries)
 
 QUERIES: dict[str, Query] = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
