@@ -12,12 +12,13 @@ from tabprep.llm import (
     packing_queries,
     quality_queries,
     simhash_queries,
+    substring_queries,
     url_queries,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (url_queries, html_queries, packing_queries, simhash_queries, quality_queries, mixing_queries)
+_MODULES = (url_queries, html_queries, substring_queries, packing_queries, simhash_queries, quality_queries, mixing_queries)
 
 QUERIES: dict[str, Query] = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
