@@ -10,6 +10,7 @@ from tabprep.llm import (
     html_queries,
     mixing_queries,
     packing_queries,
+    pii_queries,
     quality_queries,
     simhash_queries,
     substring_queries,
@@ -18,7 +19,7 @@ from tabprep.llm import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (url_queries, html_queries, substring_queries, packing_queries, simhash_queries, quality_queries, mixing_queries)
+_MODULES = (url_queries, html_queries, substring_queries, packing_queries, pii_queries, simhash_queries, quality_queries, mixing_queries)
 
 QUERIES: dict[str, Query] = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
