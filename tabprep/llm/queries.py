@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabprep.llm import (
     html_queries,
+    lm_queries,
     mixing_queries,
     neighbour_queries,
     packing_queries,
@@ -20,7 +21,7 @@ from tabprep.llm import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (url_queries, neighbour_queries, html_queries, substring_queries, packing_queries, pii_queries, simhash_queries, quality_queries, mixing_queries)
+_MODULES = (url_queries, neighbour_queries, html_queries, lm_queries, substring_queries, packing_queries, pii_queries, simhash_queries, quality_queries, mixing_queries)
 
 QUERIES: dict[str, Query] = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
