@@ -104,13 +104,20 @@ def measured(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = ST
         .withColumn(ordered, F.sort_array(hashes))
         .select(
             *kept,
-            n.cast("long").alias("n_words"),
-            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            F.regexp_count(body, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-            _repeat_words(w, F.col(hashes), F.col(ordered)).alias("n_repeat_words"),
-            F.size(F.filter(w, lambda x: lower_ascii(x).isin(*stop_words))).cast("long").alias("n_stop_words"),
-            F.size(lines).cast("long").alias("n_lines"),
+            # A generator, so that a later filter on a measure is not rewritten into one that makes them again.
+            F.inline(
+                F.array(
+                    F.struct(
+                        n.cast("long").alias("n_words"),
+                        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+                        F.regexp_count(body, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+                        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+                        _repeat_words(w, F.col(hashes), F.col(ordered)).alias("n_repeat_words"),
+                        F.size(F.filter(w, lambda x: lower_ascii(x).isin(*stop_words))).cast("long").alias("n_stop_words"),
+                        F.size(lines).cast("long").alias("n_lines"),
+                    )
+                )
+            ),
         )
     )
 

@@ -241,3 +241,32 @@ def group_near_duplicates(
     groups = known.groupBy(label).agg(F.min("component_id").alias("component_id"))
     ids = known.select("fingerprint", label).join(groups, label).select("fingerprint", "component_id")
     return marked.join(ids, "fingerprint").withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """One row of ``docs`` per group of near duplicates: the one with the smallest id.
+
+    Groups are those of ``group_near_duplicates``. Null ids come last; rows with equal ids are
+    told apart by a hash of all columns, and of rows that are equal throughout one stays.
+    Columns are those of ``docs``.
+    """
+    from tabprep.session import reliable_checkpoint
+
+    mark, key, lone, label = free_names(docs, ["fingerprint", "row_key", "lone", "label"])
+    keyed = docs.withColumn(key, F.xxhash64(*docs.columns))
+    slim = keyed.select(F.col(id_col).alias("id"), F.col(key).alias("key"), F.col(text).alias("text"))
+    marked = reliable_checkpoint(with_fingerprint(slim).drop("text"))
+    labels = fingerprint_labels(marked, radius)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+    least = marked.groupBy("fingerprint").agg(first.alias("first"))
+    reps = least.join(labels, "fingerprint").groupBy("label").agg(F.min("first").alias("first"))
+    copies = marked.groupBy("id", "key").count()
+    reps = reps.select("first.id", "first.key").join(
+        copies.where("count > 1").select(F.col("id").alias("i"), F.col("key").alias("k"), F.lit(False).alias(lone)),
+        F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")),
+        "left",
+    )
+    reps = reps.select(F.col("id").alias(mark), F.col("key").alias(label), F.coalesce(lone, F.lit(True)).alias(lone))
+    kept = keyed.join(reps, (F.col(key) == F.col(label)) & F.col(id_col).eqNullSafe(F.col(mark)))
+    again = kept.where(~F.col(lone)).dropDuplicates([key, id_col])
+    return kept.where(lone).unionByName(again).select(*docs.columns)
