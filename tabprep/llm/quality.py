@@ -38,10 +38,10 @@ class Threshold(NamedTuple):
 THRESHOLDS = (
     Threshold("words", "n_words", 10, None),
     Threshold("repeated windows", "100 * n_repeat_words - 20 * n_words", None, 0),
-    Threshold("word length", "word_chars / n_words", 1.5, 20),
-    Threshold("symbols", "n_symbols / n_words", None, 0.25),
-    Threshold("stop words", "n_stop_words / n_words", 0.02, None, 50),
-    Threshold("repeated lines", "n_dup_lines / n_lines", None, 0.5),
+    Threshold("word length", "try_divide(word_chars, n_words)", 1.5, 20),
+    Threshold("symbols", "try_divide(n_symbols, n_words)", None, 0.25),
+    Threshold("stop words", "try_divide(n_stop_words, n_words)", 0.02, None, 50),
+    Threshold("repeated lines", "try_divide(n_dup_lines, n_lines)", None, 0.5),
 )
 BASE = ("words", "repeated windows")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines")
