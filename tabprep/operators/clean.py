@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions import text
-from tabprep.functions.columns import missing, numeric_columns
+from tabprep.functions.columns import missing, numeric_columns, present
 
 # Default bounds of the listings clean-up.
 PRICE_LOW, PRICE_HIGH = 0.0, 250.0
@@ -45,9 +45,14 @@ def filter_sql(df: DataFrame, predicate: str) -> DataFrame:
     return df.filter(predicate)
 
 
-def cast_numbers_to_double(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """All numeric columns (or the given ones) to double, in one projection."""
-    names = list(columns) if columns is not None else numeric_columns(df)
+def cast_numbers_to_double(
+    df: DataFrame, columns: Iterable[str] | None = None, spare: Iterable[str] = ()
+) -> DataFrame:
+    """All numeric columns (or the given ones) to double, in one projection.
+
+    Name keys in ``spare``: a double holds whole numbers exactly only up to 2 to the 53.
+    """
+    names = list(columns) if columns is not None else numeric_columns(df, spare)
     return df.withColumns({n: F.col(n).cast("double") for n in names})
 
 
@@ -59,8 +64,8 @@ def add_missing_flags(df: DataFrame, columns: Sequence[str], suffix: str = "_na"
 def binary_label(
     df: DataFrame, source: str, label: str, threshold: float = HIGH_PRICE_FROM, drop_source: bool = True
 ) -> DataFrame:
-    """1.0 from ``threshold`` up, 0.0 below, null for null; the source column goes."""
-    out = df.withColumn(label, (F.col(source) >= threshold).cast("double"))
+    """1.0 from ``threshold`` up, 0.0 below, null for null and NaN; the source column goes."""
+    out = df.withColumn(label, (present(df, source) >= threshold).cast("double"))
     return out.drop(source) if drop_source else out
 
 

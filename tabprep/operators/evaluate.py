@@ -8,7 +8,9 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabprep.functions.columns import present
 from tabprep.operators.quantiles import median
+from tabprep.sources.tables import kept
 
 
 def add_baselines(
@@ -18,13 +20,18 @@ def add_baselines(
 
     Both are found right away, so ``train`` may be a frame that is only kept for a while.
     """
-    mean = train.agg(F.avg(label)).first()[0]
+    mean = train.agg(F.avg(present(train, label))).first()[0]
     values = {mean_column: mean, median_column: median(train, label)}
     return test.withColumns({name: F.lit(value).cast("double") for name, value in values.items()})
 
 
 def _measures(label: Column, prediction: Column) -> tuple[Column, Column, Column]:
-    """Rows, root mean squared error and R2. The spread is Spark's one-pass variance, which stays stable."""
+    """Rows, root mean squared error and R2. The spread is Spark's one-pass variance, which stays stable.
+
+    Null and NaN are both missing.
+    """
+    none = F.lit(None).cast("double")
+    label, prediction = (F.nanvl(c.cast("double"), none) for c in (label, prediction))
     both = label.isNotNull() & prediction.isNotNull()
     y = F.when(both, label)
     mse = F.avg(F.when(both, (label - prediction) * (label - prediction)))
@@ -76,6 +83,9 @@ def area_under_roc(df: DataFrame, label: str, score: str = "rawPrediction") -> f
 
 
 def roc_frame(df: DataFrame, label: str, score: str = "rawPrediction") -> DataFrame:
-    """(n_rows, n_positive, area_under_roc)."""
-    counts = df.agg(F.count(label).alias("n_rows"), F.count_if(F.col(label) == 1).alias("n_positive"))
-    return counts.withColumn("area_under_roc", F.lit(area_under_roc(df, label, score)))
+    """(n_rows, n_positive, area_under_roc). The two columns are kept, so rows are scored once."""
+    with kept(df.select(label, score)) as scored:
+        counts = scored.agg(F.count(label), F.count_if(F.col(label) == 1)).first()
+        area = area_under_roc(scored, label, score)
+    values = zip(("n_rows", "n_positive", "area_under_roc"), (*counts, float(area)))
+    return df.sparkSession.range(1).select(*[F.lit(v).alias(n) for n, v in values])

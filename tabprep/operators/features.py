@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.feature import (
@@ -13,28 +14,12 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.functions.columns import ColumnRoles
+from tabprep.functions.columns import ColumnRoles, present
 from tabprep.operators.ranking import global_row_number
-
-# A fitted indexer keeps its labels on the driver and in every task; beyond this many use index_wide.
-MAX_LABELS = 100_000
-
-
-class TooManyLabels(ValueError):
-    """A column has more categories than a fitted indexer should carry."""
-
-
-def check_label_counts(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS) -> None:
-    """Raise when a column has too many categories; one sketch aggregate over all columns."""
-    if not columns:
-        return
-    row = df.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    wide = {c: n for c, n in zip(columns, row) if n > limit}
-    if wide:
-        raise TooManyLabels(f"more than {limit} labels in {wide}; use index_wide or drop the columns")
+from tabprep.session import shared_path
 
 
 def indexer_stage(columns: Sequence[str], handle_invalid: str = "error") -> StringIndexer:
@@ -47,24 +32,60 @@ def indexer_stage(columns: Sequence[str], handle_invalid: str = "error") -> Stri
     )
 
 
-def fit_indexer(
-    df: DataFrame, columns: Sequence[str], handle_invalid: str = "error", limit: int = MAX_LABELS
-) -> StringIndexerModel:
-    check_label_counts(df, columns, limit)
+def fit_indexer(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error") -> StringIndexerModel:
+    """A fitted indexer. It holds its labels on the driver and in every task; ``WideIndex`` does not."""
     return indexer_stage(columns, handle_invalid).fit(df)
 
 
-def index_wide(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
-    """The same index for a column with any number of labels.
+@dataclass(frozen=True)
+class WideIndex:
+    """A fitted index of one column with any number of labels, kept as a table of (label, index).
 
-    Labels are counted with map-side combine and ranked by a distributed sort,
-    then joined back. AQE splits the partition of a hot label in that join, as
-    the label side holds each label once. Rows without a label are left out.
+    The index is that of ``indexer_stage``: by falling frequency, then label. Labels are counted
+    with map-side combine and ranked by a distributed sort, once. To transform is to join; each
+    label is there once, so adaptive execution can split the partition of a hot one.
     """
-    counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = global_row_number(counted, [F.desc("_n"), F.asc(column)], "_index")
-    index = F.col("_index").cast("double").alias(output or f"{column}_index")
-    return df.join(ranked.select(column, index), column)
+
+    path: str
+    column: str
+    output: str
+
+    @classmethod
+    def fit(cls, df: DataFrame, column: str, path: str, output: str | None = None) -> WideIndex:
+        """Count and rank the labels of ``df`` and write them to ``path``, a shared folder."""
+        counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+        ranked = global_row_number(counted, [F.desc("n"), F.asc("label")], "index")
+        ranked.select("label", "n", "index").write.mode("overwrite").parquet(path)
+        return cls(path, column, output or f"{column}_index")
+
+    def labels(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
+
+    def transform(self, df: DataFrame, handle_invalid: str = "error") -> DataFrame:
+        """``df`` with the index of its labels.
+
+        Unseen and null labels are left out with ``skip``, get the number of labels with ``keep``,
+        and fail the query with ``error``.
+        """
+        if handle_invalid not in ("error", "skip", "keep"):
+            raise ValueError(f"handle_invalid is {handle_invalid!r}")
+        labels = self.labels(df.sparkSession)
+        known = labels.select(F.col("label").alias(self.column), F.col("index").cast("double").alias(self.output))
+        if handle_invalid == "skip":
+            return df.join(known, self.column)
+        found = df.join(known, self.column, "left")
+        if handle_invalid == "keep":
+            last = labels.agg(F.count(F.lit(1)).cast("double")).scalar()
+            other = last
+        else:
+            other = F.raise_error(F.concat(F.lit(f"unseen label in {self.column}: "), F.coalesce(self.column, F.lit("null")))).cast("double")
+        return found.withColumn(self.output, F.coalesce(self.output, other))
+
+
+def index_wide(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
+    """Fit a ``WideIndex`` in the shared folder and apply it; rows without a label are left out."""
+    path = shared_path(df.sparkSession, "labels")
+    return WideIndex.fit(df, column, path, output).transform(df, "skip")
 
 
 def one_hot_stage(columns: Sequence[str], drop_last: bool = True) -> OneHotEncoder:
@@ -113,8 +134,9 @@ def vectors_to_arrays(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def add_log(df: DataFrame, source: str, output: str) -> DataFrame:
-    """Natural logarithm; null where the value is not positive."""
-    return df.withColumn(output, F.when(F.col(source) > 0, F.log(F.col(source))))
+    """Natural logarithm; null where the value is missing or not positive."""
+    value = present(df, source)
+    return df.withColumn(output, F.when(value > 0, F.log(value)))
 
 
 def undo_log(df: DataFrame, source: str, output: str = "prediction") -> DataFrame:

@@ -56,6 +56,26 @@ def impute_mode(df: DataFrame, columns: Sequence[str], outputs: Mapping[str, str
     return _fill(df, {n: modes.getField(n) for n in columns}, outputs)
 
 
+def text_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row, one column each: the most frequent text, the first in order on ties, null without any."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.col(n).alias("value")) for i, n in enumerate(columns)])
+    counted = (
+        df.select(F.inline(pairs))
+        .filter(F.col("value").isNotNull())
+        .groupBy("position", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    rank = F.struct((-F.col("n")).alias("n"), "value")
+    best = [F.min(F.when(F.col("position") == i, rank)).getField("value").alias(n) for i, n in enumerate(columns)]
+    return counted.agg(*best)
+
+
+def impute_text_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fill missing text with the most frequent text of its column."""
+    modes = text_modes(df, columns).select(F.struct(*columns)).scalar()
+    return df.withColumns({n: F.coalesce(F.col(n), modes.getField(n)) for n in columns})
+
+
 def impute_category(df: DataFrame, columns: Sequence[str], category: str = "absent") -> DataFrame:
     """Give missing categories a category of their own."""
     return fill_constants(df, {n: category for n in columns})

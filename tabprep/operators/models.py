@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.columns import ColumnRoles
-from tabprep.operators.features import check_label_counts, encoding_stages, feature_names
+from tabprep.operators.features import encoding_stages, feature_names
 from tabprep.operators.profile import top_k
 from tabprep.sources.tables import kept, rows_frame
 
@@ -63,7 +63,6 @@ class Encoded:
 
 def encode(df: DataFrame, roles: ColumnRoles, one_hot: bool = False, handle_invalid: str = "skip") -> Encoded:
     """Fit the encoding once; several models can then be fitted to the lazy frame."""
-    check_label_counts(df, roles.categorical)
     encoder = Pipeline(stages=encoding_stages(roles, one_hot, handle_invalid)).fit(df)
     labels = [len(values) for values in encoder.stages[0].labelsArray] if roles.categorical else [0]
     return Encoded(encoder, encoder.transform(df), max(labels))

@@ -92,20 +92,28 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
-    """(bin, low, n_rows) of equal-width bins between minimum and maximum; empty bins are left out."""
+    """(bin, low, n_rows) of all equal-width bins between minimum and maximum, empty ones with zero.
+
+    A column of one value fills the first bin; one without values has no bins.
+    """
     v = present(df, column).cast("double")
     rows = df.select(v.alias("value")).filter(F.col("value").isNotNull())
     edges = rows.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"))).scalar()
     lo, hi = F.col("edges.lo"), F.col("edges.hi")
     width = (hi - lo) / F.lit(float(bins))
     index = F.when(hi == lo, F.lit(0)).otherwise(F.floor((F.col("value") - lo) / width))
-    return (
+    counted = (
         rows.withColumn("edges", edges)
         .select(F.least(index, F.lit(bins - 1)).cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return (
+        every.join(counted, "bin", "left")
         .withColumn("edges", edges)
-        .select("bin", (lo + F.col("bin") * width).alias("low"), "n_rows")
+        .filter(lo.isNotNull())
+        .select("bin", (lo + F.col("bin") * width).alias("low"), F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
     )
 
 

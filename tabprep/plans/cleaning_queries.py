@@ -94,6 +94,16 @@ def label_binarize(spark, folder):
     return clean.binary_label(rows, "price", "price_class", 25000.0)
 
 
+@query(
+    "label_missing",
+    f"""WITH {PRICED_SQL} SELECT {KEYS_SQL},
+        CAST(CASE WHEN rating_value >= 5 THEN 1 WHEN rating_value < 5 THEN 0 END AS DOUBLE) AS rated_high FROM priced""",
+)
+def label_missing(spark, folder):
+    """A source with null and NaN: both stay without a class."""
+    return clean.binary_label(roles.listings(spark, folder).select(*KEYS, "rating"), "rating", "rated_high", 5.0)
+
+
 @query(
     "column_roles",
     f"""WITH {LISTINGS_SQL} SELECT 'superhost' AS column_name, 'categorical' AS role, count(superhost) AS n_values FROM listings
@@ -203,8 +213,7 @@ CLEAN_LISTINGS_SQL = f"""{PRICED_SQL}, kept AS (
   SELECT * FROM priced WHERE price > 0 AND price < 50000 AND minimum_nights <= 365),
  medians AS (SELECT quantile_disc(CAST(rooms AS DOUBLE), 0.5) AS m_rooms, quantile_disc(rating_value, 0.5) AS m_rating FROM kept),
  cleaned AS (
-  SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
-         CAST(l_partkey AS DOUBLE) AS l_partkey, CAST(l_suppkey AS DOUBLE) AS l_suppkey, superhost, room_type,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, superhost, room_type,
          coalesce(CAST(rooms AS DOUBLE), m_rooms) AS rooms, coalesce(rating_value, m_rating) AS rating, tax,
          CAST(minimum_nights AS DOUBLE) AS minimum_nights, price,
          CAST(CASE WHEN rooms IS NULL THEN 1 ELSE 0 END AS DOUBLE) AS rooms_na,
@@ -214,7 +223,7 @@ CLEAN_LISTINGS_SQL = f"""{PRICED_SQL}, kept AS (
 
 def cleaned_listings(spark, folder):
     return clean_listings(
-        roles.listings(spark, folder), roles.LISTING_NAMES, ["rooms", "rating"], price_range=PRICE_RANGE
+        roles.listings(spark, folder), roles.LISTING_NAMES, ["rooms", "rating"], price_range=PRICE_RANGE, keys=roles.SPLIT_KEYS
     )
 
 

@@ -11,6 +11,7 @@ from tabprep.plans import roles
 from tabprep.plans.catalog import query, table
 from tabprep.plans.cleaning_queries import KEYS, KEYS_SQL, priced
 from tabprep.plans.roles import LISTINGS_SQL, PRICED_SQL, hash_share_sql
+from tabprep.session import shared_path
 
 
 def _imputed_sql(statistics: str) -> str:
@@ -73,6 +74,16 @@ def impute_category(spark, folder):
     return impute.impute_category(roles.listings(spark, folder).select(*KEYS, "superhost"), ["superhost"])
 
 
+@query(
+    "impute_category_mode",
+    f"""WITH {LISTINGS_SQL}, best AS (
+          SELECT superhost AS mode FROM listings WHERE superhost IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+        SELECT {KEYS_SQL}, coalesce(superhost, mode) AS superhost FROM listings, best""",
+)
+def impute_category_mode(spark, folder):
+    return impute.impute_text_mode(roles.listings(spark, folder).select(*KEYS, "superhost"), ["superhost"])
+
+
 @query(
     "impute_constant",
     _imputed_sql("SELECT CAST(0 AS DOUBLE) AS m_rooms, CAST(0 AS DOUBLE) AS m_rating"),
@@ -108,6 +119,28 @@ def string_index_wide(spark, folder):
     return features.index_wide(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey")
 
 
+_WIDE_SQL = f"""rows AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, {hash_share_sql(['l_orderkey', 'l_linenumber'])} AS share FROM lineitem),
+ train AS (SELECT * FROM rows WHERE share < CAST(0.1 AS DOUBLE)), test AS (SELECT * FROM rows WHERE share >= CAST(0.1 AS DOUBLE))"""
+
+
+@query(
+    "string_index_wide_split",
+    f"""WITH {_WIDE_SQL}, i AS ({_index_sql('train', 'l_partkey')}), n AS (SELECT CAST(count(*) AS DOUBLE) AS labels FROM i)
+        SELECT l_orderkey, l_linenumber, l_partkey, coalesce(l_partkey_index, labels) AS l_partkey_index,
+               l_partkey_index IS NOT NULL AS seen
+        FROM test LEFT JOIN i USING (l_partkey), n""",
+)
+def string_index_wide_split(spark, folder):
+    """Fitted on a small train part and applied to the test part, where many labels are unseen."""
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    train, test = split_parts(rows, ["l_orderkey", "l_linenumber"], (0.1, 0.9))
+    index = features.WideIndex.fit(train, "l_partkey", shared_path(spark, "labels"))
+    indexed = index.transform(test, "keep")
+    n_labels = index.labels(spark).agg(F.count(F.lit(1))).scalar()
+    return indexed.withColumn("seen", F.col("l_partkey_index") < n_labels)
+
+
 _LABELLED_SQL = f"""labelled AS (
   SELECT p_partkey, p_brand || '-' || CAST(p_size AS VARCHAR) AS model, CASE WHEN p_partkey % 11 <> 0 THEN p_type END AS kind,
          {hash_share_sql(['p_partkey'])} AS share FROM part),

@@ -56,8 +56,9 @@ def clean_listings(
     price_range: tuple[float, float] = (clean.PRICE_LOW, clean.PRICE_HIGH),
     nights: str = "minimum_nights",
     max_nights: float = clean.MAX_NIGHTS,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Project, parse the price, cut outliers, cast, flag and impute by median.
+    """Project, parse the price, cut outliers, cast all numbers but ``keys``, flag and impute by median.
 
     Projection and filters are narrow. The median needs extra passes over the
     imputed columns only; the result itself is one scan without a shuffle.
@@ -65,5 +66,5 @@ def clean_listings(
     rows = clean.clean_currency(clean.select_columns(df, columns), price)
     rows = clean.filter_open_range(rows, price, *price_range)
     rows = clean.filter_upper_bound(rows, nights, max_nights)
-    rows = clean.add_missing_flags(clean.cast_numbers_to_double(rows), imputed)
+    rows = clean.add_missing_flags(clean.cast_numbers_to_double(rows, spare=keys), imputed)
     return impute_median(rows, imputed)

@@ -14,7 +14,7 @@ from tabprep.plans.catalog import query, table
 from tabprep.plans.cleaning_queries import CLEAN_LISTINGS_SQL, cleaned_listings
 from tabprep.plans.oracles import coefficient_sql, least_squares_sql, metrics_sql
 from tabprep.plans.promotion import promote_best
-from tabprep.plans.roles import DEAL_LABEL, DEAL_NUMBERS, DEALS_SQL, SPLIT_KEYS, hash_share_sql
+from tabprep.plans.roles import DEAL_LABEL, DEAL_NUMBERS, DEALS_SQL, PRICED_SQL, SPLIT_KEYS, hash_share_sql
 from tabprep.session import shared_path
 from tabprep.sources.tables import kept, overwrite_table, read_table
 
@@ -288,10 +288,22 @@ def _default_tree(train: DataFrame):
     return models.fit_trees(train, ALL_ROLES, models.decision_tree(DEAL_LABEL))
 
 
-@query("feature_importance")
+_FEATURES = [*(f"{c}_index" for c in ALL_ROLES.categorical), *ALL_ROLES.numeric]
+
+
+@query(
+    "feature_importance",
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{name}' AS feature, true AS is_share, true AS sums_to_one" for i, name in enumerate(_FEATURES)
+    ),
+)
 def feature_importance(spark, folder):
+    """Every feature in its slot, with an importance that is a share of all."""
     train, _ = train_test(spark, folder)
-    return models.feature_importances(_default_tree(train), train)
+    found = models.feature_importances(_default_tree(train), train)
+    total = found.agg(F.sum("importance")).scalar()
+    share = F.col("importance").between(0, 1).alias("is_share")
+    return found.select("position", "feature", share, (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 # A tree of one split: all importance goes to the feature whose best cut of ordered categories explains most.
@@ -321,37 +333,97 @@ def stump_importance(spark, folder):
     return models.feature_importances(model, train).drop("position")
 
 
-@query("top_features")
+@query(
+    "top_features",
+    "SELECT CAST(k AS INTEGER) AS place, k = 1 AS is_price, true AS is_ranked FROM range(1, 6) AS r(k)",
+)
 def top_features(spark, folder):
+    """Five features by falling importance; the price before discount and tax comes first."""
     train, _ = train_test(spark, folder)
-    return models.top_features(models.feature_importances(_default_tree(train), train))
+    found = models.top_features(models.feature_importances(_default_tree(train), train)).collect()  # five rows
+    falling = all(a["importance"] >= b["importance"] for a, b in zip(found, found[1:]))
+    return spark.range(1, 1 + len(found)).select(
+        F.col("id").cast("int").alias("place"),
+        (F.col("id") == 1 + [r["feature"] for r in found].index("l_extendedprice")).alias("is_price"),
+        F.lit(falling).alias("is_ranked"),
+    )
 
 
-@query("rf_regression")
+FOREST_TREES = 20
+
+
+def _beats_mean(df: DataFrame) -> DataFrame:
+    """Whether measures are those of a model that explains most of the spread."""
+    return df.select("n_rows", (F.col("r2") > 0.5).alias("beats_mean"))
+
+
+@query(
+    "rf_regression",
+    f"""WITH {DEALS_SQL} SELECT count(*) AS n_rows, count(*) AS n_consistent, true AS beats_mean
+        FROM deals WHERE part = 'test'""",
+)
 def rf_regression(spark, folder):
+    """The forest's prediction is the mean of its trees on every row, and better than the mean price."""
     train, test = train_test(spark, folder)
-    forest = models.forest_regressor(DEAL_LABEL, numTrees=10)
-    scored = models.score(models.fit_trees(train, ALL_ROLES, forest), test)
-    return rounded_metrics(evaluate.regression_metrics(scored, DEAL_LABEL))
+    forest = models.forest_regressor(DEAL_LABEL, numTrees=FOREST_TREES)
+    fitted = models.fit_trees(train, ALL_ROLES, forest)
+    scored = models.score(fitted, test)
+    for i, tree in enumerate(fitted.stages[-1].trees):
+        scored = tree.setPredictionCol(f"tree{i}").transform(scored)
+    mean = sum(F.col(f"tree{i}") for i in range(FOREST_TREES)) / FOREST_TREES
+    scored = scored.select(DEAL_LABEL, "prediction", (F.abs(mean - F.col("prediction")) < 1e-6).alias("consistent"))
+    with kept(scored) as rows:
+        measured = _beats_mean(evaluate.regression_metrics(rows, DEAL_LABEL)).first()
+        consistent = rows.filter("consistent").count()
+    return spark.range(1).select(
+        F.lit(measured["n_rows"]).alias("n_rows"), F.lit(consistent).cast("long").alias("n_consistent"),
+        F.lit(measured["beats_mean"]).alias("beats_mean"),
+    )
 
 
-@query("rf_classification")
+@query(
+    "rf_classification",
+    f"""WITH {DEALS_SQL} SELECT count(*) AS n_rows, count(*) FILTER (net_price >= {HIGH_PRICE}) AS n_positive, true AS separates
+        FROM deals WHERE part = 'test'""",
+)
 def rf_classification(spark, folder):
     """High against low price; the price itself is dropped."""
     rows = roles.deals(spark, folder).withColumn("price_class", (F.col(DEAL_LABEL) >= HIGH_PRICE).cast("double"))
     train, test = split_parts(rows.drop(DEAL_LABEL), SPLIT_KEYS)
-    forest = models.forest_classifier("price_class", numTrees=10)
+    forest = models.forest_classifier("price_class", numTrees=FOREST_TREES)
     scored = models.score(models.fit_trees(train, ALL_ROLES, forest), test)
-    return evaluate.roc_frame(scored, "price_class")
+    found = evaluate.roc_frame(scored, "price_class")
+    return found.select("n_rows", "n_positive", (F.col("area_under_roc") > 0.9).alias("separates"))
 
 
-@query("gbt_regression")
+@query(
+    "gbt_regression",
+    f"WITH {DEALS_SQL} SELECT count(*) AS n_rows, true AS beats_mean FROM deals WHERE part = 'test'",
+)
 def gbt_regression(spark, folder):
     """Boosted trees on the log price, measured in prices."""
     train, test = (features.add_log(p, DEAL_LABEL, "label") for p in train_test(spark, folder))
-    boosted = models.boosted_trees("label", maxIter=10)
-    scored = models.score(models.fit_trees(train, ALL_ROLES, boosted), test)
-    return rounded_metrics(evaluate.log_scale_metrics(scored, DEAL_LABEL, "prediction"))
+    scored = models.score(models.fit_trees(train, ALL_ROLES, models.boosted_trees("label")), test)
+    return _beats_mean(evaluate.log_scale_metrics(scored, DEAL_LABEL, "prediction"))
+
+
+_RATED_SQL = f"""{PRICED_SQL}, rated AS (
+  SELECT rating_value AS rating, avg(rating_value) OVER () AS mean_prediction, median(rating_value) OVER () AS median_prediction
+  FROM priced)"""
+
+
+@query(
+    "baseline_missing",
+    f"WITH {_RATED_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS model, {metrics_sql('rated WHERE rating IS NOT NULL', 'rating', f'{name}_prediction')}" for name in ("mean", "median")
+    ),
+)
+def baseline_missing(spark, folder):
+    """Baselines of a label with null and NaN, which neither they nor their measures count."""
+    rows = roles.listings(spark, folder).select("rating")
+    names = {"mean": "mean_prediction", "median": "median_prediction"}
+    return rounded_metrics(evaluate.compare_predictions(evaluate.add_baselines(rows, rows, "rating"), "rating", names))
 
 
 @query(
@@ -378,7 +450,7 @@ def model_roundtrip(spark, folder):
 
 # Clean, split, fit on the imputed table, and measure against the baselines.
 _RENTAL_SQL = f"""{CLEAN_LISTINGS_SQL}, rental AS (
-  SELECT *, CASE WHEN {hash_share_sql([f"CAST({k} AS BIGINT)" for k in SPLIT_KEYS])} < CAST(0.8 AS DOUBLE)
+  SELECT *, CASE WHEN {hash_share_sql(SPLIT_KEYS)} < CAST(0.8 AS DOUBLE)
             THEN 'train' ELSE 'test' END AS part FROM cleaned),
  line AS (SELECT regr_slope(price, rooms) AS slope, regr_intercept(price, rooms) AS intercept,
                  avg(price) AS mean_price, median(price) AS median_price FROM rental WHERE part = 'train'),
@@ -397,8 +469,7 @@ _RENTAL_SQL = f"""{CLEAN_LISTINGS_SQL}, rental AS (
 def flagship(spark, folder):
     """From currency text to a model measured against its baselines."""
     path = overwrite_table(cleaned_listings(spark, folder), shared_path(spark, "rental"))
-    rental = read_table(spark, path).withColumns({k: F.col(k).cast("long") for k in SPLIT_KEYS})
-    train, test = split_parts(rental.select(*SPLIT_KEYS, "rooms", "price"), SPLIT_KEYS)
+    train, test = split_parts(read_table(spark, path).select(*SPLIT_KEYS, "rooms", "price"), SPLIT_KEYS)
     return rounded_metrics(compare_line_with_baselines(train, test, "rooms", "price"))
 
 

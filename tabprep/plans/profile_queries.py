@@ -94,15 +94,33 @@ def null_profile(spark, folder):
 @query(
     "histogram",
     """WITH e AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)
-       SELECT least(CAST(floor((l_extendedprice - lo) / ((hi - lo) / CAST(100 AS DOUBLE))) AS BIGINT), 99)::INTEGER AS bin,
-              round(lo + least(CAST(floor((l_extendedprice - lo) / ((hi - lo) / CAST(100 AS DOUBLE))) AS BIGINT), 99)
-                    * ((hi - lo) / CAST(100 AS DOUBLE)), 4) AS low, count(*) AS n_rows
-       FROM lineitem, e GROUP BY 1, 2""",
+       SELECT CAST(b AS INTEGER) AS bin, round(lo + b * ((hi - lo) / CAST(100 AS DOUBLE)), 4) AS low,
+              (SELECT count(*) FROM lineitem WHERE b =
+                  least(CAST(floor((l_extendedprice - lo) / ((hi - lo) / CAST(100 AS DOUBLE))) AS BIGINT), 99)) AS n_rows
+       FROM range(100) AS r(b), e""",
 )
 def histogram(spark, folder):
     return _rounded(profile.histogram(table(spark, folder, "lineitem"), "l_extendedprice", 100), "low")
 
 
+@query(
+    "histogram_gaps",
+    """WITH v AS (SELECT CASE WHEN l_partkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_quantity * l_quantity * l_quantity END AS x
+                  FROM lineitem),
+       e AS (SELECT min(x) AS lo, max(x) AS hi FROM v WHERE NOT isnan(x))
+       SELECT CAST(b AS INTEGER) AS bin, round(lo + b * ((hi - lo) / CAST(200 AS DOUBLE)), 4) AS low,
+              (SELECT count(*) FROM v WHERE NOT isnan(x)
+                  AND b = least(CAST(floor((x - lo) / ((hi - lo) / CAST(200 AS DOUBLE))) AS BIGINT), 199)) AS n_rows
+       FROM range(200) AS r(b), e""",
+)
+def histogram_gaps(spark, folder):
+    """A skew column with NaN whose upper bins are mostly empty."""
+    q = F.col("l_quantity")
+    cube = F.when(F.col("l_partkey") % 7 == 0, F.lit("NaN").cast("double")).otherwise(q * q * q)
+    rows = table(spark, folder, "lineitem").select(cube.alias("x"))
+    return _rounded(profile.histogram(rows, "x", 200), "low")
+
+
 @query(
     "topk_generic",
     "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",

@@ -76,24 +76,28 @@ def _arrow_type(data_type: T.DataType) -> pa.DataType:
     return simple[type(data_type)]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out a frame that has fewer partitions than the cluster has cores.
+#: Partitions of a kept frame, and the session setting that names another number.
+KEPT_PARTITIONS = 16
+KEPT_KEY = "spark.tabprep.keptPartitions"
 
-    Meant for a frame that is read many times after one scan of few, large row
-    groups. A large table already has more partitions than cores and is left alone.
-    Rows are put in a fixed order within each partition, as they may arrive in any
-    order and seeded sampling in a fit depends on it.
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out by their hash and put each partition in a fixed order.
+
+    Seeded sampling in a fit follows the layout, so the layout depends on the rows and on
+    ``partitions`` alone, never on cores, files or the order in which rows arrive. The number
+    is ``KEPT_PARTITIONS`` unless given or set in the session; set it to the size of the data
+    (some hundred megabytes a partition), and to the same value wherever a fit is repeated.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores).sortWithinPartitions(F.xxhash64(*df.columns))
+    n = partitions or int(df.sparkSession.conf.get(KEPT_KEY, str(KEPT_PARTITIONS)))
+    row = F.xxhash64(*df.columns)
+    return df.repartition(n, row).sortWithinPartitions(row)
 
 
 @contextmanager
-def kept(df: DataFrame):
+def kept(df: DataFrame, partitions: int | None = None):
     """Keep a frame in memory and on disk while an iterative fit reads it several times."""
-    held = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    held = spread(df, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
     finally:

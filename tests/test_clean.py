@@ -38,6 +38,16 @@ def test_every_numeric_type_becomes_double(spark):
     assert tuple(out.first()) == (1.0, 2.0, 3.0, "x", None)
 
 
+def test_spared_keys_keep_their_digits(spark):
+    df = spark.sql("SELECT 9007199254740993L AS id, 2L AS n")
+    assert tuple(clean.cast_numbers_to_double(df, spare=["id"]).first()) == (9007199254740993, 2.0)
+
+
+def test_label_of_nan_is_missing(spark):
+    df = spark.createDataFrame([(200.0,), (100.0,), (None,), (float("nan"),)], "price double")
+    assert [r["c"] for r in clean.binary_label(df, "price", "c").collect()] == [1.0, 0.0, None, None]
+
+
 def test_flags_mark_null_and_nan(spark):
     df = spark.createDataFrame([(1.0, 1), (None, None), (float("nan"), 3)], "a double, b int")
     out = clean.add_missing_flags(df, ["a", "b"]).select("a_na", "b_na").collect()

@@ -65,10 +65,20 @@ def test_unseen_and_missing_labels(spark):
         features.fit_indexer(train, ["k"]).transform(test).collect()
 
 
-def test_too_many_labels_are_refused_before_they_reach_the_driver(spark):
-    df = spark.range(1000).select(F.col("id").cast("string").alias("k"))
-    with pytest.raises(features.TooManyLabels):
-        features.fit_indexer(df, ["k"], limit=100)
+def test_fitted_wide_index_on_new_rows(spark, root):
+    """150,000 labels; unseen and null ones are left out, kept apart or refused."""
+    train = spark.range(150_000).select(F.col("id").cast("string").alias("k"))
+    index = features.WideIndex.fit(train, "k", f"{root}/labels")
+    test = spark.createDataFrame([("7",), ("x",), (None,), ("149999",)], "k string")
+    want = {k: float(i) for i, k in enumerate(sorted(map(str, range(150_000)))) if k in ("7", "149999")}
+    found = {r["k"]: r["k_index"] for r in index.transform(test, "skip").collect()}
+    assert found == want
+    kept = {r["k"]: r["k_index"] for r in index.transform(test, "keep").collect()}
+    assert kept == want | {"x": 150_000.0, None: 150_000.0}
+    with pytest.raises(Exception, match="unseen label in k"):
+        index.transform(test).collect()
+    again = features.WideIndex(index.path, "k", "again")
+    assert again.transform(test, "skip").count() == 2
 
 
 def test_wide_index_with_a_hot_label(spark):
@@ -102,7 +112,7 @@ def test_slot_names(spark):
 
 
 def test_log_is_null_where_it_has_no_value(spark):
-    df = spark.createDataFrame([(math.e,), (0.0,), (-1.0,), (None,)], "price double")
+    df = spark.createDataFrame([(math.e,), (0.0,), (-1.0,), (None,), (math.nan,)], "price double")
     logged = features.undo_log(features.add_log(df, "price", "log_price"), "log_price", "again")
-    assert [r["log_price"] for r in logged.collect()] == [1.0, None, None, None]
+    assert [r["log_price"] for r in logged.collect()] == [1.0, None, None, None, None]
     assert logged.first()["again"] == pytest.approx(math.e)

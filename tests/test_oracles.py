@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as contract
+from tabprep.plans import registry
 from tests.oracle import connect, differences
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")

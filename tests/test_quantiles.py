@@ -97,4 +97,10 @@ def test_histogram_edges(spark):
     got = {r["bin"]: (r["low"], r["n_rows"]) for r in profile.histogram(df, "x", 5).collect()}
     assert got == {0: (0.0, 2), 1: (2.0, 2), 2: (4.0, 2), 3: (6.0, 2), 4: (8.0, 3)}
     same = profile.histogram(frame(spark, [3, 3, 3]), "x", 5).collect()
-    assert [(r["bin"], r["n_rows"]) for r in same] == [(0, 3)]
+    assert sorted((r["bin"], r["n_rows"]) for r in same) == [(0, 3), (1, 0), (2, 0), (3, 0), (4, 0)]
+
+
+def test_histogram_has_empty_bins(spark):
+    rows = profile.histogram(frame(spark, [0, 10, float("nan"), None]), "x", 5).collect()
+    assert sorted((r["bin"], r["low"], r["n_rows"]) for r in rows) == [(0, 0.0, 1), (1, 2.0, 0), (2, 4.0, 0), (3, 6.0, 0), (4, 8.0, 1)]
+    assert profile.histogram(frame(spark, [None]), "x", 5).collect() == []

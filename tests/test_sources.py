@@ -42,11 +42,15 @@ def test_schema_listing(spark):
     assert [tuple(r) for r in tables.describe_schema(df).collect()] == [(0, "a", "int", 2), (1, "b c", "string", 1)]
 
 
-def test_spread_leaves_large_frames_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, 1, cores * 2)
-    assert tables.spread(wide) is wide
-    assert tables.spread(spark.range(0, 1000, 1, 1)).rdd.getNumPartitions() == cores
+def test_layout_of_a_kept_frame_depends_on_its_rows_alone(spark):
+    def layout(df, **options):
+        parts = tables.spread(df, **options).select("id", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m"))
+        return sorted(map(tuple, parts.collect()))
+
+    one, many = spark.range(0, 1000, 1, 1), spark.range(0, 1000, 1, 23).orderBy(F.desc("id"))
+    assert layout(one) == layout(many)
+    assert {p for _, p, _ in layout(one)} <= set(range(tables.KEPT_PARTITIONS))
+    assert {p for _, p, _ in layout(many, partitions=3)} == {0, 1, 2}
 
 
 def test_kept_frames_are_released(spark):
