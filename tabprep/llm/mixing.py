@@ -13,6 +13,10 @@ from tabprep.llm.common import WORD, free_names
 from tabprep.session import reliable_checkpoint
 
 
+#: A table with a row per leaf is broadcast up to this many leaves (some megabytes).
+BROADCAST_LEAVES = 20_000
+
+
 class Level(NamedTuple):
     """One level of the tree: its name, the value of a row, and positive whole weights of values."""
 
@@ -88,6 +92,11 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[Level], share: tuple[int, i
     return tree.join(budgets, parents).select(*names, "tokens", "capacity", "budget")
 
 
+def _small(plan: DataFrame) -> DataFrame:
+    """``plan`` marked for broadcast if it has few rows; else Spark joins it by shuffling."""
+    return F.broadcast(plan) if plan.count() <= BROADCAST_LEAVES else plan
+
+
 def _key(seed: int, epoch: Column, id_text: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), id_text))
 
@@ -144,7 +153,7 @@ def mix_sources(
         )
     )
 
-    keyed = slim.join(plan, names).select(
+    keyed = slim.join(_small(plan), names).select(
         *names, "rest", _key(seed, F.col("whole"), F.col("id")).alias("key"), "n_tokens"
     )
     ranges = keyed.groupBy(*names, "rest", F.substring("key", 1, 4).alias("range")).agg(F.sum("n_tokens").alias("sum"))
@@ -162,11 +171,13 @@ def mix_sources(
     cuts = inside.withColumn("upto", upto).groupBy(*names).agg(
         F.coalesce(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("key"))), F.first("range")).alias("cut")
     )
-    chosen = plan.join(cuts, names, "left").select(
-        *[F.col(m).alias(n) for n, m in zip(leaf, names)], "whole", F.coalesce("cut", F.lit("g")).alias("cut")
+    chosen = reliable_checkpoint(
+        plan.join(cuts, names, "left").select(
+            *[F.col(m).alias(n) for n, m in zip(leaf, names)], "whole", F.coalesce("cut", F.lit("g")).alias("cut")
+        )
     )
     last = _key(seed, F.col("whole"), F.col(ident)) <= F.col("cut")
-    taken = marked.join(chosen, leaf).withColumn(
+    taken = marked.join(_small(chosen), leaf).withColumn(
         "epoch",
         F.explode(
             F.filter(
