@@ -77,7 +77,7 @@ def _arrow_type(data_type: T.DataType) -> pa.DataType:
 
 
 #: Partitions of a kept frame, and the session setting that names another number.
-KEPT_PARTITIONS = 16
+KEPT_PARTITIONS = 8
 KEPT_KEY = "spark.tabprep.keptPartitions"
 
 
