@@ -112,7 +112,10 @@ def fit_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Span
     found = reliable_checkpoint(docs.select(text).mapInArrow(collect, "votes array<int>, features array<double>"))
     counts = {tuple(r["votes"]): r["count"] for r in found.groupBy("votes").count().collect()}
     posterior, _ = estimate_reliability(counts)
-    picked = found.orderBy(F.xxhash64("votes", "features"), "votes", "features").limit(sample).collect()
+    # Hashes are spread evenly, so below this bound lie about half as many again as are wanted.
+    bound = min((1 << 63) - 1, (3 * sample << 64) // (2 * max(1, sum(counts.values()))) - (1 << 63))
+    row = F.xxhash64("votes", "features")
+    picked = found.where(row <= bound).orderBy(row, "votes", "features").limit(sample).collect()
     if not picked:
         return SpanModel([])
     weights = fit_classifier([r["features"] for r in picked], [posterior[tuple(r["votes"])] for r in picked])
