@@ -43,7 +43,6 @@ HEADLINE = [
     "rf_regression",
     "gbt_regression",
     "cv_results",
-    "search_trials",
     "runs_pivot",
     "registry_current_stage",
     "clean_split_fit",
