@@ -11,11 +11,12 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabprep.llm import lm_model, simhash
+from tabprep.llm import lm_model, lm_scoring, simhash
 from tabprep.llm.lm_queries import held_out, op4_lm_scores
 from tabprep.llm.lm_scoring import score_texts
 from tabprep.llm.mixing import Level, mix_sources
 from tabprep.llm.simhash_queries import op8_simhash
+from tabprep.llm.subwords import byte_bpe
 
 
 def lower_words(text):
@@ -196,6 +197,27 @@ def encoded(word):
     return encoder(*byte_bpe())[" " + word][::4]
 
 
+def test_every_window_of_every_training_text_trains(spark, docs_of):
+    rng = np.random.default_rng(3)
+    bodies = [" ".join(f"w{x}" for x in rng.integers(0, 50, n)) for n in (0, 1, 5, 40, 300, 30, 30, 30)]
+    vocabulary, params = byte_bpe(), lm_model.start()
+    ids = [lm_scoring._subwords(b.encode(), vocabulary, lm_model.END)[0] for b in bodies]
+    train = docs_of(enumerate(bodies)).selectExpr("text", "xxhash64(doc_id) AS seed")
+    classes = lm_model.Vocabulary.of(np.bincount(np.concatenate(ids), minlength=lm_model.IDS))
+    trained = lm_scoring._copies(train, "text", "seed", params, classes, 3, vocabulary).collect()
+    assert sum(r["weight"] for r in trained) == len(lm_model.Windows(ids))
+    assert all((np.frombuffer(r["params"], "<f4") != lm_model.flat(params)).any() for r in trained)
+    assert lm_model.KNOWN == 4032
+
+
+def test_no_text_is_left_out_by_its_first_words(spark, docs_of):
+    """Copies of one text were all in or all out; left out, the model knew nothing of them."""
+    for first in ("one", "two", "three", "four", "five"):
+        rows = [(i, f"{first} short text that stands here in many copies") for i in range(1500)]
+        best = score_texts(docs_of(rows), F.lit(False)).agg(F.min("score")).first()[0]
+        assert best > -6, first
+
+
 def test_scores_of_odd_texts(spark, docs_of):
     rows = [(1, None), (2, ""), (3, "a　b c"), (3, "a　b c"), (None, "x"), (4, "A x")]
     docs = docs_of(rows).withColumn("score", F.lit("x")).withColumn("block", F.lit(1))
