@@ -51,21 +51,61 @@ def action_of(rule: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return F.when(rule.isin(names["block"]), "block").when(rule.isin(names["allow"]), "allow")
 
 
-def alias_of(host: Column, path: Column) -> Column:
-    """Scheme, query, fragment and closing slashes do not make another page. Null without a host."""
-    return F.when(host != "", F.concat(host, F.regexp_replace(path, "/+$", "")))
+def query_of(url: Column) -> Column:
+    """The query with its question mark; empty if there is none."""
+    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1), F.lit(""))
+
+
+def alias_of(host: Column, path: Column, query: Column) -> Column:
+    """Scheme, fragment and the path's closing slashes do not make another page. Null without a host."""
+    return F.when(host != "", F.concat(host, F.regexp_replace(path, "/+$", ""), F.when(query != "?", query).otherwise("")))
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with a slash, with its segments ``.`` and ``..`` carried out."""
+    parts = F.slice(F.split(path, "/"), 2, 1 << 30)
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, x: F.when(x == ".", done)
+        .when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(x))),
+    )
+    closing = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(closing, "/").otherwise(""))
+
+
+def resolved(base: Column, link: Column) -> Column:
+    """``link`` as it stands on the page ``base``; null if the base has no host or the link another scheme."""
+    own = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    whole = F.regexp_extract(base, r"(?s)^([^#]*)", 1)
+    path = path_of(base)
+    rest = F.regexp_extract(link, r"(?s)^[^?#]*(.*)$", 1)
+    given = F.regexp_extract(link, r"(?s)^([^?#]*)", 1)
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+    return (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), link)
+        .when(link.startswith("//"), F.concat(F.lit("http:"), link))
+        .when((own == "") | link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), None)
+        .when(link.startswith("#"), F.concat(whole, link))
+        .when(link.startswith("?"), F.concat(own, path, link))
+        .when(link.startswith("/"), F.concat(own, without_dots(given), rest))
+        .otherwise(F.concat(own, without_dots(F.concat(folder, given)), rest))
+    )
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(url, target) for the canonical links and immediate redirects that pages declare.
 
-    A target may be absolute, or begin with ``//`` or ``/``; other relative ones are left out.
+    A target that is not absolute is resolved against the page's url.
     """
     html = F.col("html")
     tags = F.concat(
         F.filter(
             F.regexp_extract_all(html, F.lit(_LINK), F.lit(0)),
-            lambda t: t.rlike(r"(?i)\brel\s*=\s*[\"']?\s*canonical\b"),
+            lambda t: t.rlike(
+                r"(?i)\srel\s*=\s*(?:\"(?:[^\"]*\s)?canonical(?:\s[^\"]*)?\"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical(?=[\s/>]))"
+            ),
         ),
         F.filter(
             F.regexp_extract_all(html, F.lit(_META), F.lit(0)),
@@ -87,12 +127,7 @@ def page_links(pages: DataFrame) -> DataFrame:
             ).alias("link"),
         )
     )
-    own = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
-    target = (
-        F.when(F.col("link").contains("://"), F.col("link"))
-        .when(F.col("link").startswith("//"), F.concat(F.lit("http:"), F.col("link")))
-        .when(F.col("link").startswith("/") & (own != ""), F.concat(own, F.col("link")))
-    )
+    target = resolved(F.col("url"), F.col("link"))
     return found.select("url", target.alias("target")).where("target is not null")
 
 
@@ -116,7 +151,7 @@ def judge_urls(pages: DataFrame, links: DataFrame, rules: Sequence[tuple[str, st
     def placed(frame: DataFrame, url: str) -> DataFrame:
         parts = frame.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
         rule = match_rule(F.col("host"), F.col("path"), rules)
-        return parts.withColumns({"rule": rule, node: alias_of(F.col("host"), F.col("path"))}).withColumn(
+        return parts.withColumns({"rule": rule, node: alias_of(F.col("host"), F.col("path"), query_of(F.col(url)))}).withColumn(
             "verdict", action_of(F.col("rule"), rules)
         )
 

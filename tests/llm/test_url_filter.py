@@ -53,6 +53,25 @@ def test_blocks_reach_aliases_unless_one_is_allowed(spark):
     ]
 
 
+def test_relative_targets_and_rel_tokens(spark):
+    rows = {
+        "story.html": "http://h.net/a/story.html", "../b": "http://h.net/b", "?page=1": "http://h.net/a/x?page=1",
+        "./": "http://h.net/a/", "..": "http://h.net/", "../../../c/./d?q=/../1": "http://h.net/c/d?q=/../1", "/e/../f": "http://h.net/f",
+        "//o.net/g": "http://o.net/g", "https://o.net/h": "https://o.net/h", "mailto:x": None,
+    }
+    html = {k: f"<link rel='nofollow canonical' href='{k}'>" for k in rows}
+    pages = spark.createDataFrame([("http://h.net/a/x?z=1", h) for h in html.values()], "url string, html string")
+    assert sorted(r["target"] for r in page_links(pages).collect()) == sorted(t for t in rows.values() if t)
+    other = spark.createDataFrame([("http://h.net", "<link rel=canonical href=i><link rel='not-canonical' href=j>")], "url string, html string")
+    assert [r["target"] for r in page_links(other).collect()] == ["http://h.net/i"]
+
+
+def test_only_edges_join_urls_that_differ_in_query(spark):
+    blocked = '<link rel="canonical" href="http://x.com/de/1">'
+    rows = [(1, "http://h.net/view?id=1", blocked), (2, "http://h.net/view?id=2", ""), (3, "https://h.net/view/?id=1#t", ""), (4, "http://h.net/view", "<link rel=canonical href='?id=1'>")]
+    assert verdicts(spark, rows) == [(1, None, "block"), (2, None, "allow"), (3, None, "block"), (4, None, "block")]
+
+
 def test_nulls_and_no_pages(spark):
     pages = spark.createDataFrame([(None, None, None), (2, "nothing", "")], "page_id long, url string, html string")
     found = judge_urls(pages.drop("html"), page_links(pages)).collect()
