@@ -14,6 +14,7 @@ from tabprep.llm import (
     packing_queries,
     pii_queries,
     quality_queries,
+    run_queries,
     simhash_queries,
     substring_queries,
     url_queries,
@@ -21,7 +22,7 @@ from tabprep.llm import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (url_queries, neighbour_queries, html_queries, lm_queries, substring_queries, packing_queries, pii_queries, simhash_queries, quality_queries, mixing_queries)
+_MODULES = (url_queries, neighbour_queries, html_queries, lm_queries, substring_queries, packing_queries, pii_queries, simhash_queries, quality_queries, mixing_queries, run_queries)
 
 QUERIES: dict[str, Query] = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}

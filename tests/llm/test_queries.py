@@ -16,6 +16,7 @@ COLUMNS = {
     "op7": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op8": "doc_id fingerprint component_id",
     "op9": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op13": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     "op10": "doc_id domain lang source epoch n_tokens",
 }
 
