@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from tabprep.llm.common import free_names
 from tabprep.llm.substrings import _BASE, _mixed, _powers
+from tabprep.session import reliable_checkpoint
 
 #: A run repeats its period so often at least, and has so many words at least.
 TIMES, LEAST = 4, 6
@@ -203,6 +204,7 @@ def find_runs(docs: DataFrame, text: str = "text") -> DataFrame:
     gathered = runs.groupBy(F.col("key").alias(key), F.col("other").alias(other)).agg(
         F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs")
     )
+    gathered = reliable_checkpoint(gathered)  # a side of its own lets adaptive execution split a hot text
     joined = keyed.join(gathered, [key, other], "left").select(*docs.columns, "runs")
     joined = joined.withColumn("runs", F.coalesce("runs", F.array().cast(joined.schema["runs"].dataType)))
     at = joined.columns.index(text)

@@ -1,0 +1,102 @@
+"""Near-duplicate classes against all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tabprep.llm import hamming
+from tabprep.llm.hamming import near_duplicate_classes
+
+
+def shingles(text):
+    words = (text or "").translate({c: c + 32 for c in range(65, 91)}).split()
+    return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset(words)
+
+
+def plain_classes(rows):
+    """(id, set size, smallest id reachable) of each row, from all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                parent[root(a)] = root(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[root(k)] = min(least.get(root(k), i), i)
+    return sorted((i, len(sets[k]), least[root(k)]) for k, (i, _) in enumerate(rows))
+
+
+def families(seed, n_families, copies, size=60):
+    """Texts in families: each copy changes a few words of a member, so that links chain."""
+    rng, rows = random.Random(seed), []
+    for _ in range(n_families):
+        kin = [[f"w{rng.randrange(500)}" for _ in range(size)]]
+        for _ in range(rng.randint(1, copies)):
+            words = list(rng.choice(kin))
+            for _ in range(rng.randint(0, 5)):
+                words[rng.randrange(size)] = f"w{rng.randrange(500)}"
+            kin.append(words)
+        rows += [" ".join(w) for w in kin]
+    rng.shuffle(rows)
+    return [(7 * k + 3, t) for k, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("bucket_rows, class_rows", [(65_536, 4096), (4, 4), (3, 10)])
+def test_classes_equal_all_pairs_whatever_the_blocks(spark, bucket_rows, class_rows):
+    rows = families(bucket_rows, 12, 25)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicate_classes(df, bucket_rows=bucket_rows, class_rows=class_rows).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == plain_classes(rows)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+
+
+def test_every_pair_within_the_radius_shares_a_key(spark):
+    rng = np.random.default_rng(2)
+    symbols = rng.integers(0, 1 << 16, (300, 32)).astype(np.uint16)
+    far = symbols.copy()
+    for row in far:
+        at = rng.choice(32, hamming.RADIUS, replace=False)
+        row[at] ^= rng.integers(1, 1 << 16, len(at)).astype(np.uint16)
+    both = np.concatenate([symbols, far]).view(np.int64)
+    rows = [(k, *map(int, c)) for k, c in enumerate(both)]
+    df = spark.createDataFrame(rows, ["set_id", *hamming._chunk_names()])
+    keys = hamming.chunk_keys(df)
+    pairs = keys.alias("a").join(keys.alias("b"), ["part", "value"]).where("b.set_id = a.set_id + 300")
+    assert pairs.select("a.set_id").distinct().count() == 300
+
+
+def test_odd_rows(spark):
+    same = "One two three four"
+    rows = [(5, same), (4, "one  TWO\nthree four"), (4, same), (None, same), (9, None), (8, ""), (8, " "), (7, "one"), (6, "ONE")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"members": F.lit(1), "kept": F.lit("x")})
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicate_classes(df).collect()]
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    want = [(5, 3, 4, False), (4, 3, 4, True), (4, 3, 4, True), (None, 3, 4, False), (9, 0, 9, True)]
+    want += [(8, 0, 8, True), (8, 0, 8, True), (7, 1, 6, False), (6, 1, 6, True)]
+    assert sorted(found, key=key) == sorted(want, key=key)
+    lone = near_duplicate_classes(df.where("doc_id is null")).collect()
+    assert [(r["component_id"], r["kept"]) for r in lone] == [(None, True)]
+    assert near_duplicate_classes(df.limit(0)).count() == 0
+
+
+def test_very_long_texts_count_whole(spark):
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400_000)]
+    other = [w if k % 25 else "changed" for k, w in enumerate(words)]
+    far = words[:200_000] + [f"v{rng.randrange(10**6)}" for _ in range(200_000)]
+    rows = [(k, " ".join(t)) for k, t in enumerate([words, other, far])]
+    assert len(rows[0][1]) > 2_500_000
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicate_classes(df).collect()}
+    sizes = [len(shingles(t)) for _, t in rows]
+    assert found == {0: (sizes[0], 0), 1: (sizes[1], 0), 2: (sizes[2], 2)}

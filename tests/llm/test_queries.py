@@ -17,6 +17,8 @@ COLUMNS = {
     "op8": "doc_id fingerprint component_id",
     "op9": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op13": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op11": "vec_id component n deviation whitened explained identity_error",
+    "op12": "doc_id n_shingles component_id kept",
     "op10": "doc_id domain lang source epoch n_tokens",
 }
 
