@@ -42,7 +42,7 @@ def test_odd_vectors_ties_and_unequal_lengths(spark):
     assert nearest_neighbours(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_shards_and_slices_change_nothing_that_is_verified(spark):
+def test_shards_change_nothing_that_is_verified(spark):
     rng = np.random.default_rng(1)
     rows = [(k, rng.standard_normal(8).tolist()) for k in range(300)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
