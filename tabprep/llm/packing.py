@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.subwords import byte_bpe, encoder
+from tabprep.llm.subwords import byte_bpe, byte_bpe_special, encoder
 
 #: Sequence ids are this power of two times the partition's number, plus a count.
 PARTITION_BITS = 33
@@ -69,7 +69,7 @@ def pack_documents(
     window: int = 1024,
     end_id: int = 0,
     block_tokens: int = 4_000_000,
-    vocabulary: tuple[str, str] | None = None,
+    vocabulary: tuple | None = None,
 ) -> DataFrame:
     """Pieces of all documents, each with its place in a sequence of at most ``window`` ids.
 
@@ -80,19 +80,20 @@ def pack_documents(
     that is run again gives the same pieces. Only the last windows of a block stay unfilled;
     partitions far below a block's size waste about one window each.
 
-    Result: the id column, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit),
+    ``vocabulary`` is a file of ranks, a pattern and the special tokens; where a text spells one of
+    these, it is its one id. Result: the id column, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit),
     ``doc_tokens``, ``sequence_id``, ``offset``. Null and empty texts are just ``end_id``;
     repeated rows and rows with a null id are packed one by one; no rows give no pieces.
     Other columns are left out, so their names cannot clash.
     """
-    ranks, pattern = vocabulary or byte_bpe()
+    named = vocabulary or (*byte_bpe(), byte_bpe_special())
 
     def pack(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode = encoder(ranks, pattern).ids
+        encode = encoder(*named).ids
         end, step = np.array([end_id], dtype="<u4").tobytes(), 4 * window
         number = TaskContext.get().partitionId() << PARTITION_BITS
         full: list[tuple] = []

@@ -10,7 +10,7 @@ _PIECE = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 #: Other white space may join the run before it, so texts that hold any are encoded in one go.
 _OTHER_SPACE = re.compile("[\x85\xa0  -     　]")
 
-_encoders: dict[str, SubwordEncoder] = {}
+_encoders: dict[tuple, SubwordEncoder] = {}
 
 
 class SubwordEncoder(dict):
@@ -21,7 +21,8 @@ class SubwordEncoder(dict):
     ``limit`` pieces; that bounds memory and changes nothing else.
     """
 
-    def __init__(self, ranks_path: str, pattern: str, limit: int):
+    def __init__(self, ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...], limit: int):
+        import numpy as np
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
@@ -30,6 +31,9 @@ class SubwordEncoder(dict):
             "pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self._limit = limit
+        self._special = {token: np.array([number], dtype="<u4").tobytes() for token, number in special}
+        longest_first = sorted(self._special, key=len, reverse=True)
+        self._at_special = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if special else None
 
     def __missing__(self, piece: str) -> bytes:
         import numpy as np
@@ -42,16 +46,23 @@ class SubwordEncoder(dict):
         return found
 
     def ids(self, text: str) -> bytes:
+        if self._at_special and self._at_special.search(text):
+            parts = self._at_special.split(text)
+            return b"".join(self._special[p] if k % 2 else self._ordinary(p) for k, p in enumerate(parts))
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         if _OTHER_SPACE.search(text):
             return self.__missing__(text)
         return b"".join(map(self.__getitem__, _PIECE.findall(text)))
 
 
-def encoder(ranks_path: str, pattern: str, limit: int = 400_000) -> SubwordEncoder:
-    """One encoder per Python worker, kept from task to task."""
-    if ranks_path not in _encoders:
-        _encoders[ranks_path] = SubwordEncoder(ranks_path, pattern, limit)
-    return _encoders[ranks_path]
+def encoder(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = (), limit: int = 400_000) -> SubwordEncoder:
+    """One encoder per Python worker and vocabulary, kept from task to task."""
+    key = (ranks_path, special)
+    if key not in _encoders:
+        _encoders[key] = SubwordEncoder(ranks_path, pattern, special, limit)
+    return _encoders[key]
 
 
 def byte_bpe() -> tuple[str, str]:
@@ -59,3 +70,13 @@ def byte_bpe() -> tuple[str, str]:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def byte_bpe_special() -> tuple[tuple[str, int], ...]:
+    """The added tokens of ``byte_bpe_50k.json``: where a text spells one, it is that one id."""
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return tuple((t["content"], t["id"]) for t in json.load(file)["added_tokens"])
