@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import ColumnRoles, present
+from tabprep.operators.label_ranks import LabelRanker
 from tabprep.operators.ranking import global_row_number
 from tabprep.session import shared_path
 
@@ -108,16 +109,27 @@ def formula_stage(formula: str, label: str = "label", output: str = "features",
 
 
 def encoding_stages(
-    roles: ColumnRoles, one_hot: bool = False, handle_invalid: str = "skip", output: str = "features"
+    roles: ColumnRoles,
+    one_hot: bool = False,
+    handle_invalid: str = "skip",
+    output: str = "features",
+    ranked: Sequence[str] = (),
+    label: str | None = None,
 ) -> list[Estimator | Transformer]:
-    """Stages from raw columns to a feature vector. Trees take bare indexes, linear models one-hot."""
-    if not roles.categorical:
-        return [assembler_stage(roles.numeric, output)]
-    stages: list[Estimator | Transformer] = [indexer_stage(roles.categorical, handle_invalid)]
-    if one_hot:
-        stages.append(one_hot_stage(roles.categorical))
+    """Stages from raw columns to a feature vector. Trees take bare indexes, linear models one-hot.
+
+    Columns in ``ranked`` become ranks by the mean of ``label`` and need no index.
+    """
+    narrow = [c for c in roles.categorical if c not in ranked]
+    stages: list[Estimator | Transformer] = [
+        LabelRanker(inputCol=c, outputCol=f"{c}_rank", labelCol=label) for c in roles.categorical if c in ranked
+    ]
+    if narrow:
+        stages.append(indexer_stage(narrow, handle_invalid))
+    if one_hot and narrow:
+        stages.append(one_hot_stage(narrow))
     kind = "onehot" if one_hot else "index"
-    inputs = [f"{c}_{kind}" for c in roles.categorical] + roles.numeric
+    inputs = [f"{c}_rank" if c in ranked else f"{c}_{kind}" for c in roles.categorical] + roles.numeric
     return [*stages, assembler_stage(inputs, output)]
 
 

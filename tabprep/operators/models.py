@@ -20,11 +20,13 @@ from pyspark.sql import types as T
 from tabprep.functions.columns import ColumnRoles
 from tabprep.operators.features import encoding_stages, feature_names
 from tabprep.operators.profile import top_k
+from tabprep.session import set_checkpoints
 from tabprep.sources.tables import kept, rows_frame
 
-# Parameters of the boosted-tree model.
+# Parameters of the boosted-tree model, bins of trees.
 BOOSTING = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 4, "seed": 42}
 TREE_BINS = 250
+BOOSTING_BINS = 64
 SEED = 42
 
 
@@ -33,7 +35,7 @@ def linear_regression(label: str, prediction: str = "prediction", **params) -> L
 
 
 def decision_tree(label: str, **params) -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(labelCol=label, **params)
+    return DecisionTreeRegressor(labelCol=label, **{"maxBins": TREE_BINS, **params})
 
 
 def forest_regressor(label: str, **params) -> RandomForestRegressor:
@@ -45,7 +47,7 @@ def forest_classifier(label: str, **params) -> RandomForestClassifier:
 
 
 def boosted_trees(label: str, **params) -> GBTRegressor:
-    return GBTRegressor(labelCol=label, **{**BOOSTING, **params})
+    return GBTRegressor(labelCol=label, **{**BOOSTING, "maxBins": BOOSTING_BINS, **params})
 
 
 @dataclass(frozen=True)
@@ -54,24 +56,46 @@ class Encoded:
 
     encoder: PipelineModel
     frame: DataFrame
-    max_labels: int
+    ranked: tuple[str, ...] = ()
 
     def with_model(self, model: Model) -> PipelineModel:
         """Encoding and model as one pipeline that scores raw rows."""
         return PipelineModel([*self.encoder.stages, model])
 
 
-def encode(df: DataFrame, roles: ColumnRoles, one_hot: bool = False, handle_invalid: str = "skip") -> Encoded:
-    """Fit the encoding once; several models can then be fitted to the lazy frame."""
-    encoder = Pipeline(stages=encoding_stages(roles, one_hot, handle_invalid)).fit(df)
-    labels = [len(values) for values in encoder.stages[0].labelsArray] if roles.categorical else [0]
-    return Encoded(encoder, encoder.transform(df), max(labels))
+def max_bins(estimator: Estimator) -> int:
+    return estimator.getOrDefault("maxBins")
 
 
-def with_enough_bins(estimator: Estimator, max_labels: int) -> Estimator:
-    """A copy whose ``maxBins`` holds every category; tree fits fail otherwise."""
-    bins = max(estimator.getOrDefault("maxBins"), max_labels, 2)
-    return estimator.copy({estimator.getParam("maxBins"): bins})
+def wide_columns(df: DataFrame, columns: Sequence[str], max_labels: int) -> list[str]:
+    """The columns with more than ``max_labels`` labels, told in one pass.
+
+    A sketch settles all but the columns near the bound; only those are counted exactly.
+    """
+    if not columns:
+        return []
+    about = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
+    near = [c for c in columns if 0.8 * max_labels <= about[c] <= 1.25 * max_labels]
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in near]).first() if near else {}
+    return [c for c in columns if (exact[c] if c in near else about[c]) > max_labels]
+
+
+def encode(
+    df: DataFrame,
+    roles: ColumnRoles,
+    one_hot: bool = False,
+    handle_invalid: str = "skip",
+    max_labels: int | None = None,
+    label: str | None = None,
+) -> Encoded:
+    """Fit the encoding once; several models can then be fitted to the lazy frame.
+
+    With ``max_labels``, columns of more labels become ranks by their mean ``label``
+    (``LabelRanker``) instead of indexes, and count as numbers from there on.
+    """
+    ranked = wide_columns(df, roles.categorical, max_labels) if max_labels else []
+    encoder = Pipeline(stages=encoding_stages(roles, one_hot, handle_invalid, ranked=ranked, label=label)).fit(df)
+    return Encoded(encoder, encoder.transform(df), tuple(ranked))
 
 
 def fit_linear(df: DataFrame, roles: ColumnRoles, label: str, **params) -> PipelineModel:
@@ -82,10 +106,19 @@ def fit_linear(df: DataFrame, roles: ColumnRoles, label: str, **params) -> Pipel
 
 
 def fit_trees(df: DataFrame, roles: ColumnRoles, estimator: Estimator) -> PipelineModel:
-    """Any tree model on indexed categories and numbers, with bins to fit the categories."""
-    with kept(df.select(*roles.categorical, *roles.numeric, estimator.getLabelCol())) as rows:
-        encoded = encode(rows, roles)
-        return encoded.with_model(with_enough_bins(estimator, encoded.max_labels).fit(encoded.frame))
+    """Any tree model on categories and numbers.
+
+    ``maxBins`` stays as set: columns with more labels than bins are ordered by their mean label.
+    """
+    label = estimator.getLabelCol()
+    with kept(df.select(*roles.categorical, *roles.numeric, label)) as rows:
+        encoded = encode(rows, roles, max_labels=max_bins(estimator), label=label)
+        set_checkpoints(df.sparkSession)  # rounds cut their lineage as checkpointInterval says
+        if not encoded.ranked:
+            return encoded.with_model(estimator.fit(encoded.frame))
+        # A join of ranks moves rows, so these are laid out anew, and not joined once more a pass.
+        with kept(encoded.frame.select("features", label)) as prepared:
+            return encoded.with_model(estimator.fit(prepared))
 
 
 def fit_stages(df: DataFrame, *stages) -> PipelineModel:

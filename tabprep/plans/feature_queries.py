@@ -6,11 +6,12 @@ from pyspark.ml.feature import Imputer
 from pyspark.sql import functions as F
 
 from tabprep.operators import features, impute
+from tabprep.operators.label_ranks import LabelRanker
 from tabprep.operators.split import split_parts
 from tabprep.plans import roles
 from tabprep.plans.catalog import query, table
 from tabprep.plans.cleaning_queries import KEYS, KEYS_SQL, priced
-from tabprep.plans.roles import LISTINGS_SQL, PRICED_SQL, hash_share_sql
+from tabprep.plans.roles import DEALS_SQL, LISTINGS_SQL, PRICED_SQL, hash_share_sql
 from tabprep.session import shared_path
 
 
@@ -249,3 +250,24 @@ def log_target(spark, folder):
     logged = features.add_log(priced(spark, folder), "price", "log_price")
     restored = features.undo_log(logged, "log_price", "restored")
     return restored.select(*KEYS, F.round("log_price", 6).alias("log_price"), F.round("restored", 4).alias("restored"))
+
+
+_RANKS_SQL = f"""{DEALS_SQL}, labelled AS (SELECT *, 'P' || CAST(l_partkey AS VARCHAR) AS part_label FROM deals),
+ prior AS (SELECT avg(net_price) AS mean_price FROM labelled WHERE part = 'train'),
+ scored AS (SELECT part_label, round((sum(net_price) + 10 * mean_price) / (count(*) + 10), 6) AS score
+   FROM labelled, prior WHERE part = 'train' GROUP BY part_label, mean_price),
+ ranked AS (SELECT part_label, row_number() OVER (ORDER BY score, part_label) - 1 AS r FROM scored)"""
+
+
+@query(
+    "label_ranks",
+    f"""WITH {_RANKS_SQL} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+        CAST(coalesce(r, (SELECT count(*) FROM scored, prior WHERE score < round(mean_price, 6))) AS DOUBLE) AS part_rank
+        FROM labelled LEFT JOIN ranked USING (part_label) WHERE part = 'test'""",
+)
+def label_ranks(spark, folder):
+    """Labels as ranks by their smoothed mean price of the train part; labels only the test part has stand at the mean."""
+    rows = roles.deals(spark, folder).withColumn("part_label", F.concat(F.lit("P"), F.col("l_partkey").cast("string")))
+    train, test = split_parts(rows, roles.SPLIT_KEYS)
+    ranker = LabelRanker(inputCol="part_label", outputCol="part_rank", labelCol=roles.DEAL_LABEL)
+    return ranker.fit(train).transform(test).select(*roles.SPLIT_KEYS, "part_rank")

@@ -9,6 +9,7 @@ from tabprep.plans import (  # noqa: F401  (imported for their registrations)
     profile_queries,
     registry_queries,
     scan_queries,
+    search_queries,
     tracking_queries,
     tuning_queries,
 )

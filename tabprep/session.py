@@ -65,9 +65,14 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/tabprep/{tag}-{uuid.uuid4().hex}"
 
 
+def set_checkpoints(spark: SparkSession) -> None:
+    """Name the shared folder for checkpoints, unless the session has one."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(spark))
+
+
 def reliable_checkpoint(df):
     """Cut lineage with a checkpoint in the shared folder; survives executor loss."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
+    set_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from math import isqrt
 
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -76,9 +77,39 @@ def _arrow_type(data_type: T.DataType) -> pa.DataType:
     return simple[type(data_type)]
 
 
-#: Partitions of a kept frame, and the session setting that names another number.
-KEPT_PARTITIONS = 8
+#: A kept frame of n units gets the root of n partitions, but none larger than the most.
+KEPT_UNIT, KEPT_MOST_BYTES = 64 << 10, 128 << 20
+#: The session setting that names a number of partitions for all kept frames.
 KEPT_KEY = "spark.tabprep.keptPartitions"
+#: A partition with this many times the mean number of rows holds copies of some row.
+CROWDED = 4
+#: Copies of one row that are dealt out by one task.
+_COPIES = 1 << 16
+
+
+def _row_bytes(field: T.StructField):
+    """Bytes of a column's value, or the expression that measures them."""
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 8
+    if isinstance(field.dataType, T.ArrayType):
+        return F.coalesce(F.size(F.col(f"`{field.name}`")), F.lit(0)) * 8 + 8
+    slots = field.metadata.get("ml_attr", {}).get("num_attrs", 1)
+    return F.lit(8 * slots)
+
+
+def kept_partitions(df: DataFrame) -> int:
+    """How many partitions a kept frame gets: from its row count and the width of its rows alone,
+    unless the session names a number.
+
+    Number and size of partitions grow alike, so that a fit over few rows is not all task
+    overhead (3 MB: 7 partitions, 1 GB: 128), until partitions have ``KEPT_MOST_BYTES``; then the number does.
+    """
+    named = int(df.sparkSession.conf.get(KEPT_KEY, "0"))
+    if named:
+        return named
+    width = sum((_row_bytes(f) for f in df.schema), F.lit(0)).cast("long")
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return max(1, isqrt(size // KEPT_UNIT), -(-size // KEPT_MOST_BYTES))
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -86,19 +117,47 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
     Seeded sampling in a fit follows the layout, so the layout depends on the rows and on
     ``partitions`` alone, never on cores, files or the order in which rows arrive. The number
-    is ``KEPT_PARTITIONS`` unless given or set in the session; set it to the size of the data
-    (some hundred megabytes a partition), and to the same value wherever a fit is repeated.
+    comes from the data (``kept_partitions``) unless given.
     """
-    n = partitions or int(df.sparkSession.conf.get(KEPT_KEY, str(KEPT_PARTITIONS)))
     row = F.xxhash64(*df.columns)
-    return df.repartition(n, row).sortWithinPartitions(row)
+    return df.repartition(partitions or kept_partitions(df), row).sortWithinPartitions(row)
+
+
+def spread_copies(df: DataFrame, partitions: int) -> DataFrame:
+    """Like ``spread``, with the copies of a row dealt over all partitions in turn.
+
+    Equal rows are counted with map-side combine; their copies, numbered from the row's hash
+    on, go round the partitions. So the layout still depends on the rows alone, and no task
+    holds all copies of a row.
+    """
+    place, copies, part = "_place", "_copies", "_part"
+    row = F.xxhash64(*df.columns)
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies)).withColumn(place, row)
+    blocks = F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, F.lit(_COPIES).cast("long"))
+    chunks = counted.withColumn(part, F.explode(blocks)).repartition(partitions, place, part)
+    last = F.least(F.col(copies), F.col(part) + _COPIES) - 1
+    each = chunks.withColumn("_copy", F.explode(F.sequence(F.col(part), last)))
+    target = F.pmod(F.pmod(F.col(place), F.lit(partitions)) + F.col("_copy"), F.lit(partitions))
+    dealt = each.withColumn(part, target.cast("int")).repartitionById(partitions, F.col(part))
+    return dealt.sortWithinPartitions(place).select(*df.columns)
 
 
 @contextmanager
 def kept(df: DataFrame, partitions: int | None = None):
-    """Keep a frame in memory and on disk while an iterative fit reads it several times."""
-    held = spread(df, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep a frame in memory and on disk while an iterative fit reads it several times.
+
+    The rows of each partition are counted, which fills the memory. If one holds ``CROWDED``
+    times the mean, as it does where a row has very many copies, the frame is dealt out anew.
+    """
+    n = partitions or kept_partitions(df)
+    held = spread(df, n).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if n > 1:
+            sizes = held.groupBy(F.spark_partition_id()).count()
+            largest, total = sizes.agg(F.max("count"), F.sum("count")).first()
+            if (largest or 0) * n > CROWDED * (total or 0) and largest > CROWDED * n:
+                held.unpersist()
+                held = spread_copies(df, n).persist(StorageLevel.MEMORY_AND_DISK)
         yield held
     finally:
         held.unpersist()

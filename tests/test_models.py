@@ -1,10 +1,14 @@
+import time
+
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import ColumnRoles
 from tabprep.operators import evaluate, features, models, tune
+from tabprep.operators.label_ranks import LabelRanker, LabelRankerModel, rank_labels
 from tabprep.operators.split import assign_folds
 
 ROLES = ColumnRoles(["k"], ["x", "z"])
@@ -46,13 +50,74 @@ def test_one_hot_line_names_its_slots(data):
 
 
 def test_more_categories_than_bins(data):
-    """A tree with the default bins refuses 40 categories; bins are raised to fit."""
-    plain = models.decision_tree("y")
+    """A tree with 32 bins refuses 40 categories; they are ordered by their mean label and the bins stay."""
+    plain = models.decision_tree("y", maxBins=32)
     encoded = models.encode(data, ROLES)
     with pytest.raises(Exception, match="maxBins"):
         plain.fit(encoded.frame)
     model = models.fit_trees(data, ROLES, plain)
-    assert model.stages[-1].getOrDefault("maxBins") == 40 and plain.getMaxBins() == 32
+    assert model.stages[-1].getOrDefault("maxBins") == 32 and isinstance(model.stages[0], LabelRankerModel)
+    indexed = models.fit_trees(data, ROLES, models.decision_tree("y", maxBins=40))
+    assert not isinstance(indexed.stages[0], LabelRankerModel)
+    loss = [evaluate.regression_metrics(models.score(m, data), "y").first()["rmse"] for m in (model, indexed)]
+    assert loss[0] < 1.2 * loss[1]
+
+
+def test_wide_columns_are_told_exactly_near_the_bound(spark):
+    i = F.col("id")
+    df = spark.range(3000).select((i % 40).cast("string").alias("a"), (i % 41).cast("string").alias("b"), i.cast("string").alias("c"))
+    assert models.wide_columns(df, ["a", "b", "c"], 40) == ["b", "c"]
+    assert models.wide_columns(df, ["a", "b", "c"], 3000) == [] and models.wide_columns(df, [], 5) == []
+
+
+def test_ranks_follow_smoothed_means_and_have_a_place_for_unseen_labels(spark):
+    nan = float("nan")
+    rows = [("a", 10.0)] * 5 + [("b", 0.0)] * 5 + [("c", 5.0), ("d", nan), ("d", None), (None, 90.0), ("e", 5.0)]
+    df = spark.createDataFrame(rows, "k string, y double").withColumn("label", F.lit("clash"))
+    got = {r["label"]: (r["n"], r["rank"]) for r in rank_labels(df, "k", "y").collect()}
+    assert got == {"b": (5, 0), "c": (1, 1), "d": (0, 2), "e": (1, 3), "a": (5, 4)}
+    model = LabelRanker(inputCol="k", outputCol="k_rank", labelCol="y").fit(df)
+    more = spark.createDataFrame([("a",), ("zz",), (None,)], "k string").withColumn("rank", F.lit(-1))
+    assert {(r["k"], r["k_rank"], r["rank"]) for r in model.transform(more).collect()} == {("a", 4.0, -1), ("zz", 1.0, -1), (None, 1.0, -1)}
+    empty = LabelRanker(inputCol="k", outputCol="r", labelCol="y").fit(df.limit(0))
+    assert {r["r"] for r in empty.transform(more).collect()} == {0.0}
+
+
+def test_ranks_are_saved_with_a_pipeline_and_fitted_inside_folds(spark, data, root):
+    tree = models.decision_tree("y", maxBins=32)
+    model = models.fit_trees(data, ROLES, tree)
+    models.save_model(model, f"{root}/model")
+    want = sorted(r["prediction"] for r in models.score(model, data).collect())
+    assert sorted(r["prediction"] for r in models.score(models.load_model(f"{root}/model"), data).collect()) == want
+    pipeline = Pipeline(stages=[*features.encoding_stages(ROLES, ranked=["k"], label="y"), tree])
+    # A label that only one fold has: ranks learned inside the folds do not know it.
+    leak = data.select("k", "x", "z", "y").withColumn("fold", (F.xxhash64("x", "z", "k") % 3 + 3) % 3).withColumn("fold", F.col("fold").cast("int"))
+    folded = leak.withColumn("k", F.when(F.col("fold") == 0, F.concat(F.lit("f"), F.col("y").cast("string"))).otherwise(F.col("k")))
+    found = tune.cross_validate(folded, pipeline, tune.param_maps(tree, {"maxDepth": [3]}), RegressionEvaluator(labelCol="y"))
+    held = folded.where("fold = 0")
+    fitted = pipeline.fit(folded.where("fold <> 0"))
+    own = evaluate.regression_metrics(models.score(fitted, held), "y").first()["rmse"]
+    assert found.avgMetrics[0] > own / 3 * 0.99 and own > 5
+
+
+def test_very_many_labels_fit_about_as_fast_as_none(spark):
+    i = F.col("id")
+    df = spark.range(0, 300_000, 1, 8).select(
+        F.concat(F.lit("k"), F.pmod(F.xxhash64(i), F.lit(150_000)).cast("string")).alias("k"),
+        (i % 977).cast("double").alias("x"), ((i * 7) % 31 + i % 977).cast("double").alias("y"),
+        F.pmod(F.xxhash64(i), F.lit(150_000)).cast("double").alias("z"),
+    )
+    forest = models.forest_regressor("y", numTrees=20, maxDepth=8)
+    models.fit_trees(df, ColumnRoles(["k"], ["x"]), models.forest_regressor("y", numTrees=1))  # warms up
+    seconds = {}
+    for name, roles in (("narrow", ColumnRoles([], ["x", "z"])), ("wide", ColumnRoles(["k"], ["x"]))):
+        start = time.perf_counter()
+        model = models.fit_trees(df, roles, forest)
+        seconds[name] = time.perf_counter() - start
+    assert model.stages[-1].getOrDefault("maxBins") == models.TREE_BINS
+    assert model.stages[0].ranks(spark).count() > 120_000
+    print(seconds)
+    assert seconds["wide"] < 2 * seconds["narrow"]
 
 
 @pytest.mark.parametrize(

@@ -1,9 +1,12 @@
 import json
+from math import isqrt
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabprep.functions.columns import ColumnRoles
+from tabprep.operators import models
 from tabprep.session import CHECKPOINT_KEY, shared_path, shared_root
 from tabprep.sources import tables, versions
 
@@ -49,10 +52,49 @@ def test_layout_of_a_kept_frame_depends_on_its_rows_alone(spark):
 
     one, many = spark.range(0, 1000, 1, 1), spark.range(0, 1000, 1, 23).orderBy(F.desc("id"))
     assert layout(one) == layout(many)
-    assert {p for _, p, _ in layout(one)} <= set(range(tables.KEPT_PARTITIONS))
+    assert {p for _, p, _ in layout(one)} == {0}
+    assert layout(one, partitions=3) == layout(many, partitions=3)
     assert {p for _, p, _ in layout(many, partitions=3)} == {0, 1, 2}
 
 
+def test_partitions_follow_rows_and_width_and_not_the_layout(spark, monkeypatch):
+    df = spark.range(0, 10_000, 1, 3).select("id", F.lit("x" * 100).alias("t"))
+    size = 10_000 * 116
+    assert tables.kept_partitions(df) == tables.kept_partitions(df.repartition(11)) == isqrt(size // tables.KEPT_UNIT) == 4
+    monkeypatch.setattr(tables, "KEPT_UNIT", 1000)
+    assert tables.kept_partitions(df) == 34
+    monkeypatch.setattr(tables, "KEPT_MOST_BYTES", 20_000)
+    assert tables.kept_partitions(df) == 58
+    assert tables.kept_partitions(df.limit(0)) == 1
+
+
+def test_copies_of_one_row_use_all_partitions(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_COPIES", 100)
+    same = spark.range(0, 5000, 1, 4).select(F.lit(7).alias("id"), F.lit("x").alias("t"))
+    few = spark.range(50).select("id", F.lit("y").alias("t"))
+
+    def layout(df):
+        with tables.kept(df, 8) as held:
+            rows = held.select("id", "t", F.spark_partition_id().alias("p")).collect()
+        return [tuple(r) for r in rows]
+
+    first, again = layout(same.union(few)), layout(few.union(same.repartition(3)))
+    assert first == again and len(first) == 5050
+    sizes = [sum(p == k and t == "x" for _, t, p in first) for k in range(8)]
+    assert sizes == [625] * 8
+
+
+def test_forest_is_the_same_on_two_layouts(spark, monkeypatch):
+    monkeypatch.setattr(tables, "KEPT_UNIT", 2_000)
+    i = F.col("id")
+    df = spark.range(0, 3000, 1, 2).select(
+        (i % 97).cast("double").alias("x"), F.concat(F.lit("k"), i % 13).alias("k"), ((i * 31) % 101 + i % 13).cast("double").alias("y")
+    )
+    forest = models.forest_regressor("y", numTrees=3, maxDepth=4)
+    fits = [models.fit_trees(d, ColumnRoles(["k"], ["x"]), forest) for d in (df, df.repartition(7).orderBy(F.desc("x")))]
+    assert fits[0].stages[-1].toDebugString.split("\n")[1:] == fits[1].stages[-1].toDebugString.split("\n")[1:]
+
+
 def test_kept_frames_are_released(spark):
     with tables.kept(spark.range(100)) as df:
         assert df.count() == 100 and df.storageLevel.useMemory
