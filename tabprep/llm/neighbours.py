@@ -166,7 +166,7 @@ def nearest_neighbours(
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     data = marked.select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), "id", "v", "row", F.lit(0).alias("side"))
     asks = marked.where("q").select(every.alias("shard"), "id", "v", "row", F.lit(1).alias("side"))
-    both = data.unionByName(asks).repartition(shards, "shard")
+    both = data.unionByName(asks).repartitionById(shards, F.col("shard"))
 
     def search(batches: Iterator) -> Iterator:
         import numpy as np
