@@ -176,3 +176,28 @@ def estimator_params(model: PipelineModel) -> dict[str, str]:
         for param, value in stage.extractParamMap().items()
         if stage.uid not in str(value)  # default column names hold a random identifier
     }
+
+
+# What fitted stages know besides their parameters.
+_LEARNED = {
+    "StringIndexerModel": {"labels": lambda m: [list(x) for x in m.labelsArray]},
+    "OneHotEncoderModel": {"categorySizes": lambda m: list(m.categorySizes)},
+    "LinearRegressionModel": {
+        "numFeatures": lambda m: m.numFeatures,
+        "coefficients": lambda m: [*m.coefficients.toArray().tolist(), m.intercept],
+    },
+    "DecisionTreeRegressionModel": {"numNodes": lambda m: m.numNodes, "depth": lambda m: m.depth},
+    "RandomForestRegressionModel": {"numTrees": lambda m: m.getNumTrees, "totalNumNodes": lambda m: m.totalNumNodes},
+    "RandomForestClassificationModel": {"numTrees": lambda m: m.getNumTrees, "totalNumNodes": lambda m: m.totalNumNodes},
+    "GBTRegressionModel": {"numTrees": lambda m: m.getNumTrees, "treeWeights": lambda m: list(m.treeWeights)},
+}
+
+
+def learned(model: PipelineModel) -> dict[str, str]:
+    """What each stage of a fitted pipeline learned, as ``position.stage.name`` and text; labels of a
+    ``LabelRanker`` are a table and not among them."""
+    return {
+        f"{i}.{type(stage).__name__}.{name}": str(read(stage))
+        for i, stage in enumerate(model.stages)
+        for name, read in _LEARNED.get(type(stage).__name__, {}).items()
+    }

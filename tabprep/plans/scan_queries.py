@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabprep.operators.features import add_log
 from tabprep.plans.catalog import query, table
 from tabprep.session import shared_path
-from tabprep.sources import tables, versions
+from tabprep.sources import quoted_csv, tables, versions
 
 ROWS_PER_CSV_FILE = 50_000
 
@@ -32,6 +32,14 @@ def csv_multiline_scan(spark, folder):
     return tables.read_multiline_csv(spark, path, source.schema)
 
 
+@query("csv_quoted_splits", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_quoted_splits(spark, folder):
+    """The same texts from one CSV file, which is read in splits."""
+    source = table(spark, folder, "documents")
+    path = tables.write_csv(source.coalesce(1), shared_path(spark, "csv-quoted"))
+    return quoted_csv.read_quoted_csv(spark, path, source.schema)
+
+
 @query("write_overwrite_roundtrip", "SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")
 def write_overwrite_roundtrip(spark, folder):
     """The second write replaces the first one wholly."""

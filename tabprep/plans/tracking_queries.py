@@ -13,8 +13,9 @@ from tabprep.operators import evaluate, models, tracking
 from tabprep.plans.catalog import query, table
 from tabprep.plans.model_queries import FEW_ROLES, LINE_SQL, compare_line_with_baselines, train_test
 from tabprep.plans.oracles import metrics_sql
-from tabprep.plans.roles import DEAL_LABEL
+from tabprep.plans.roles import DEAL_LABEL, DEALS_SQL
 from tabprep.session import shared_path
+from tabprep.sources.tables import overwrite_table, read_table
 
 
 def _long(rows: DataFrame, values: dict[str, str]) -> DataFrame:
@@ -24,7 +25,7 @@ def _long(rows: DataFrame, values: dict[str, str]) -> DataFrame:
 
 
 def run_tables(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Runs, parameters and metrics derived from the line items by one combined aggregate."""
+    """Runs, parameters and metrics derived from the line items by one combined aggregate, which is written once."""
     error = F.col(DEAL_LABEL) - F.col("l_extendedprice")
     summary = (
         table(spark, folder, "lineitem")
@@ -47,6 +48,8 @@ def run_tables(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
             "r2",
         )
     )
+    path = overwrite_table(summary, shared_path(spark, "runs-of-suppliers"))
+    summary = read_table(spark, path)
     runs = summary.select(*tracking.RUNS.names)
     params = _long(summary, {"data_version": "data_version", "data_path": "data_path"})
     return runs, params, _long(summary, {"rmse": "rmse", "r2": "r2"})
@@ -63,9 +66,8 @@ PIVOT_NAMES = "run_id, experiment, run_name, start_time, param_data_version, par
 
 
 def pivoted_runs(spark, folder) -> DataFrame:
-    runs, params, metrics = run_tables(spark, folder)
-    wide = tracking.search_runs(runs, params, metrics, ["data_version", "data_path"], ["rmse", "r2"])
-    return wide.drop("model_path")
+    """All runs with the parameters and metrics that occur; nobody names them."""
+    return tracking.search_runs(*run_tables(spark, folder)).drop("model_path")
 
 
 @query("runs_pivot", f"WITH {RUNS_SQL} SELECT {PIVOT_NAMES} FROM pivoted")
@@ -94,7 +96,8 @@ def experiment_list(spark, folder):
 )
 def latest_run(spark, folder):
     """The last run with its metrics."""
-    latest = tracking.latest_run(pivoted_runs(spark, folder))
+    runs, params, metrics = run_tables(spark, folder)
+    latest = tracking.with_values(tracking.latest_run(runs), params, metrics, [], ["rmse", "r2"])
     return latest.select("run_id", "experiment", "run_name", "start_time", "metric_rmse", "metric_r2")
 
 
@@ -133,14 +136,61 @@ def run_log(spark, folder):
     return wide.drop("run_id", "start_time", "model_path")
 
 
-@query("estimator_params")
+# What Spark's stages are set to unless told otherwise.
+_SET_PARAMS = {
+    "0.StringIndexerModel.handleInvalid": "skip",
+    "0.StringIndexerModel.inputCols": "['l_returnflag', 'l_linestatus']",
+    "0.StringIndexerModel.outputCols": "['l_returnflag_index', 'l_linestatus_index']",
+    "0.StringIndexerModel.stringOrderType": "frequencyDesc",
+    "1.OneHotEncoderModel.dropLast": "True",
+    "1.OneHotEncoderModel.handleInvalid": "error",
+    "1.OneHotEncoderModel.inputCols": "['l_returnflag_index', 'l_linestatus_index']",
+    "1.OneHotEncoderModel.outputCols": "['l_returnflag_onehot', 'l_linestatus_onehot']",
+    "2.VectorAssembler.handleInvalid": "error",
+    "2.VectorAssembler.inputCols": "['l_returnflag_onehot', 'l_linestatus_onehot', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']",
+    "2.VectorAssembler.outputCol": "features",
+    "3.LinearRegressionModel.aggregationDepth": "2",
+    "3.LinearRegressionModel.elasticNetParam": "0.0",
+    "3.LinearRegressionModel.epsilon": "1.35",
+    "3.LinearRegressionModel.featuresCol": "features",
+    "3.LinearRegressionModel.fitIntercept": "True",
+    "3.LinearRegressionModel.labelCol": "net_price",
+    "3.LinearRegressionModel.loss": "squaredError",
+    "3.LinearRegressionModel.maxBlockSizeInMB": "0.0",
+    "3.LinearRegressionModel.maxIter": "100",
+    "3.LinearRegressionModel.predictionCol": "prediction",
+    "3.LinearRegressionModel.regParam": "0.0",
+    "3.LinearRegressionModel.solver": "auto",
+    "3.LinearRegressionModel.standardization": "True",
+    "3.LinearRegressionModel.tol": "1e-06",
+}
+_LEARNED_SQL = ", ".join(
+    f"(SELECT list({c} ORDER BY n DESC, {c}) FROM (SELECT {c}, count(*) AS n FROM deals WHERE part = 'train' GROUP BY {c})) AS {c}s"
+    for c in FEW_ROLES.categorical
+)
+
+
+def _text_sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query(
+    "estimator_params",
+    f"""WITH {DEALS_SQL}, learned AS (SELECT {_LEARNED_SQL})
+        SELECT 'linear' AS run_name, key, value FROM (VALUES {", ".join(f"({_text_sql(k)}, {_text_sql(v)})" for k, v in _SET_PARAMS.items())}) AS fixed(key, value)
+        UNION ALL SELECT 'linear', '0.StringIndexerModel.labels',
+          '[' || array_to_string(list_transform([l_returnflags, l_linestatuss], lambda x: '[' || array_to_string(list_transform(x, lambda y: '''' || y || ''''), ', ') || ']'), ', ') || ']' FROM learned
+        UNION ALL SELECT 'linear', '1.OneHotEncoderModel.categorySizes', '[' || len(l_returnflags) || ', ' || len(l_linestatuss) || ']' FROM learned
+        UNION ALL SELECT 'linear', '3.LinearRegressionModel.numFeatures', CAST(len(l_returnflags) + len(l_linestatuss) - 2 + 4 AS VARCHAR) FROM learned""",
+)
 def estimator_params(spark, folder):
-    """Every parameter of a fitted pipeline as rows of its run."""
+    """Every parameter of a fitted pipeline, and what its stages learned from the rows, as rows of its run."""
     train, test = train_test(spark, folder)
     model = models.fit_linear(train, FEW_ROLES, DEAL_LABEL)
     row = evaluate.regression_metrics(models.score(model, test), DEAL_LABEL).first()
     log = tracking.RunLog(spark, shared_path(spark, "run-params"))
-    log.record("deals", "linear", models.estimator_params(model), {"rmse": row["rmse"], "r2": row["r2"]}, model)
+    params = {**models.estimator_params(model), **models.learned(model)}
+    log.record("deals", "linear", params, {"rmse": row["rmse"], "r2": row["r2"]}, model)
     log.flush()
     named = log.runs().select("run_id", "run_name")
-    return named.join(log.params(), "run_id").select("run_name", "key", "value")
+    return named.join(log.params(), "run_id").where(~F.col("key").like("%.coefficients")).select("run_name", "key", "value")

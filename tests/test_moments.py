@@ -1,0 +1,110 @@
+"""Linear folds from moments against fitted models."""
+
+import numpy as np
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
+
+from tabprep.operators import features, models, tune
+from tabprep.operators.moments import Moments, cross_validate_linear, fold_moments, solve
+
+GRID = {"regParam": [0.0, 2.0, 50.0], "standardization": [True, False]}
+NAMES = ["a", "b", "c"]
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """Three features of unequal spread, folds of unequal size."""
+    h = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 1000.0
+    df = spark.range(0, 3000, 1, 5).select("id", (h(1) + 100.0).alias("a"), (h(2) * 500 - 30).alias("b"), (h(3) + h(1)).alias("c"), h(4).alias("e"))
+    y = 3 * F.col("a") - 0.02 * F.col("b") + 5 * F.col("c") + F.col("e")
+    return df.select(*NAMES, y.alias("y"), F.when(F.col("id") % 7 < 4, 0).when(F.col("id") % 7 < 6, 1).otherwise(2).alias("fold")).cache()
+
+
+def test_grid_equals_fitted_folds(spark, rows):
+    found = cross_validate_linear(rows, NAMES, "y", GRID)
+    estimator = models.linear_regression("y", solver="normal")
+    vectors = features.assembler_stage(NAMES).transform(rows).select("features", "y", "fold")
+    evaluator = RegressionEvaluator(labelCol="y", metricName="rmse")
+    fitted = tune.cross_validate(vectors, estimator, tune.param_maps(estimator, GRID), evaluator)
+    got = found.results.orderBy("combination").collect()
+    assert [r["avg_metric"] for r in got] == pytest.approx(fitted.avgMetrics, rel=1e-6)
+    assert [r["std_metric"] for r in got] == pytest.approx(fitted.stdMetrics, rel=1e-4)
+    assert found.results.columns == tune.cv_results(spark, fitted).columns
+    assert found.fit.coefficients == pytest.approx(fitted.bestModel.coefficients.toArray(), rel=1e-5)
+    scored = rows.select((found.fit.prediction() - F.col("y")).alias("e"))
+    rmse = scored.agg(F.sqrt(F.avg(F.col("e") * F.col("e")))).first()[0]
+    assert rmse == pytest.approx(found.fit.measures(sum_of(rows))["rmse"], rel=1e-6)
+
+
+def test_features_far_from_zero_lose_nothing(spark, rows):
+    """Raw sums of squares would hold no digit of the spread; Spark's normal equations lose some here."""
+    far = rows.withColumn("a", F.col("a") + 1e7)
+    found = cross_validate_linear(far, NAMES, "y", {"regParam": [0.0]}).results.first()["avg_metric"]
+    table = rows.toPandas()
+    x, y, fold = table[NAMES].to_numpy(), table["y"].to_numpy(), table["fold"].to_numpy()
+    x = np.column_stack([x - x.mean(0), np.ones(len(x))])
+    losses = []
+    for k in range(3):
+        w = np.linalg.lstsq(x[fold != k], y[fold != k], rcond=None)[0]
+        losses.append(np.sqrt(np.mean((y[fold == k] - x[fold == k] @ w) ** 2)))
+    assert found == pytest.approx(np.mean(losses), rel=1e-6)
+
+
+def sum_of(rows):
+    parts = list(fold_moments(rows, NAMES, "y", "fold").values())
+    return parts[0] + parts[1] + parts[2]
+
+
+def test_one_scan_whatever_the_grid(spark, rows, root):
+    path = f"{root}/rows"
+    rows.write.parquet(path)
+    written = spark.read.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("moments", "")
+    try:
+        cross_validate_linear(written, NAMES, "y", {"regParam": [float(k) for k in range(40)]})
+        jobs = tracker.getJobIdsForGroup("moments")
+        stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+        scans = [s for s in stages if (i := tracker.getStageInfo(s)) and i.numCompletedTasks]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(scans) == 2  # scan with partial sums, and their sum by fold
+
+
+def test_moments_add_up_and_missing_rows_are_left_out(spark):
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((50, 2)) + 1e7
+
+    def of(part):
+        return Moments(len(part), part.mean(0), (part - part.mean(0)).T @ (part - part.mean(0)))
+
+    both = of(x[:13]) + of(x[13:])
+    assert both.scatter == pytest.approx(of(x).scatter, rel=1e-9) and both.n == 50
+    none = Moments(0, np.zeros(2), np.zeros((2, 2)))
+    assert (none + of(x)).n == (of(x) + none).n == 50
+    data = [(0, 1.0, 2.0), (0, 2.0, 4.0), (0, None, 9.0), (1, float("nan"), 9.0), (1, 3.0, 6.0), (1, 4.0, None), (None, 1.0, 9.0)]
+    df = spark.createDataFrame(data, "fold int, x double, y double")
+    assert {k: m.n for k, m in fold_moments(df, ["x"], "y", "fold").items()} == {0: 2, 1: 1}
+
+
+def test_dependent_and_constant_columns(spark):
+    df = spark.range(60).select(
+        (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 7 * 2.0).alias("x2"), F.lit(4.0).alias("k"),
+        (F.col("id") % 7 * 3.0 + 1).alias("y"), (F.col("id") % 3).cast("int").alias("fold"),
+    )
+    found = cross_validate_linear(df, ["x", "x2", "k"], "y", {"regParam": [0.0]})
+    assert found.results.first()["avg_metric"] == pytest.approx(0, abs=1e-6)
+    assert found.fit.coefficients[2] == 0 and found.fit.coefficients[0] + 2 * found.fit.coefficients[1] == pytest.approx(3)
+    flat = solve(Moments(3, np.array([1.0, 5.0]), np.zeros((2, 2))), ["x"], 1.0)
+    assert (flat.coefficients[0], flat.intercept) == (0, 5.0)
+
+
+def test_what_has_no_closed_form_is_refused(spark):
+    df = spark.createDataFrame([(0, 1.0, 1.0)], "fold int, x double, y double")
+    with pytest.raises(ValueError, match="elasticNetParam"):
+        cross_validate_linear(df, ["x"], "y", {"elasticNetParam": [0.5]})
+    with pytest.raises(ValueError, match="two folds"):
+        cross_validate_linear(df, ["x"], "y", {"regParam": [0.5]})
+    with pytest.raises(ValueError, match="at most"):
+        fold_moments(df, [f"x{k}" for k in range(80)], "y", "fold")

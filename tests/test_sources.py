@@ -1,5 +1,7 @@
 import json
+import random
 from math import isqrt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import types as T
 from tabprep.functions.columns import ColumnRoles
 from tabprep.operators import models
 from tabprep.session import CHECKPOINT_KEY, shared_path, shared_root
-from tabprep.sources import tables, versions
+from tabprep.sources import quoted_csv, tables, versions
 
 
 def test_inferred_csv(spark, root):
@@ -26,6 +28,64 @@ def test_multiline_csv_keeps_texts(spark, root):
     assert {r["id"]: r["text"] for r in out.collect()} == dict(enumerate(texts))
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Splits of 64 bytes, so that fields, records and the header go on over many of them."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for key, value in zip(keys, ("64b", "1b", "1")):
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def odd_texts(n):
+    rng = random.Random(n)
+    pieces = ["word", '"', '""', "\n", "\r\n", ",", " ", "\t", "ä", "", "x" * 70, "\n\n", '"\n"', '\n,"']
+    return ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 12))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_quoted_csv_in_splits_equals_the_reader_of_whole_files(spark, root, small_splits, files):
+    texts = odd_texts(120)
+    df = spark.createDataFrame([(k, t, None if k % 5 else t[::-1]) for k, t in enumerate(texts)], "id int, text string, `b c` string")
+    path = tables.write_csv(df.repartition(files), f"{root}/csv")
+    whole = tables.read_multiline_csv(spark, path, df.schema)
+    split = quoted_csv.read_quoted_csv(spark, path, df.schema)
+    assert split.schema == whole.schema
+    rows = lambda d: sorted(map(repr, d.collect()))
+    assert rows(split) == rows(whole) and split.count() == 120
+    lines = quoted_csv._lines(spark, path)
+    assert lines.select("_file", "_block").distinct().count() > 40
+    states = quoted_csv.split_states(lines)
+    assert states.where("_inside").count() > 5 and states.where("_open_block is not null").count() > 30
+
+
+def test_quoted_csv_of_one_large_file_is_read_by_many_tasks(spark, root):
+    text = 'a "quoted" text, with\ntwo lines '
+    df = spark.range(0, 60_000, 1, 1).select("id", F.concat(F.lit(text * 10), F.col("id").cast("string")).alias("text"))
+    path = tables.write_csv(df, f"{root}/csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+    try:
+        assert tables.read_multiline_csv(spark, path, df.schema).rdd.getNumPartitions() == 1
+        assert quoted_csv._lines(spark, path).rdd.getNumPartitions() > 8
+        found = quoted_csv.read_quoted_csv(spark, path, df.schema)
+        assert found.join(df, ["id", "text"]).count() == 60_000 == found.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_csv_of_odd_files(spark, root):
+    for name, body in {"header": "id,text\n", "empty": "", "end": 'id,text\r\n1,"a\r\nb"\r\n\r\n2,c'}.items():
+        Path(root, name).mkdir()
+        Path(root, name, "x.csv").write_bytes(body.encode())
+    read = lambda name: [tuple(r) for r in quoted_csv.read_quoted_csv(spark, f"{root}/{name}", "id int, text string").collect()]
+    assert read("header") == read("empty") == []
+    assert sorted(read("end")) == [(1, "a\r\nb"), (2, "c")]
+
+
 def test_overwrite_replaces_rows_and_columns(spark, root):
     path = f"{root}/table"
     tables.overwrite_table(spark.range(10), path)

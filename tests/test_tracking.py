@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tabprep.operators import features, models, registry, tracking
+from tabprep.sources.tables import rows_frame
 
 
 @pytest.fixture
@@ -86,3 +89,86 @@ def test_versions_compare_as_numbers(spark):
         F.lit("register").alias("kind"), F.lit("r").alias("value"),
     )
     assert registry.latest_versions(events).first()["latest_version"] == 11
+
+
+def random_events(spark, n, names=4):
+    rng = random.Random(n)
+    rows = []
+    for seq in range(1, n + 1):
+        kind = rng.choice(["register"] * 4 + ["stage"] * 4 + ["describe"] * 3 + ["delete"])
+        version = None if kind == "delete" or (kind == "describe" and rng.random() < 0.4) else rng.randint(1, 3)
+        value = None if rng.random() < 0.1 else rng.choice(registry.STAGES) if kind == "stage" else f"{kind} {seq}"
+        rows.append((seq, f"m{rng.randrange(names)}", version, kind, value))
+    return rows
+
+
+def replayed(rows):
+    """The state by going through the events one by one."""
+    live, notes = {}, {}
+    for _, name, version, kind, value in rows:
+        if kind == "delete":
+            live = {k: v for k, v in live.items() if k[0] != name}
+            notes.pop(name, None)
+        elif kind == "register":
+            live[name, version] = [value, "None", None]
+        elif version is None:
+            notes[name] = value if value is not None else notes.get(name)
+        elif (name, version) in live and value is not None:
+            live[name, version][1 if kind == "stage" else 2] = value
+    return sorted((n, v, *map(str, s), str(notes.get(n))) for (n, v), s in live.items())
+
+
+def state(events):
+    return sorted((r["name"], r["version"], *(str(r[c]) for c in ("source", "stage", "description", "model_description"))) for r in registry.versions(events).collect())
+
+
+def test_states_equal_a_replay_and_survive_compaction(spark):
+    for n in (40, 150):
+        rows = random_events(spark, n)
+        for cut in (0, n // 3, n):
+            old, new = (rows_frame(spark, part, registry.EVENTS) for part in (rows[:cut], rows[cut:]))
+            kept = registry.compacted(old)
+            assert state(kept.unionByName(new)) == replayed(rows) == state(old.unionByName(new))
+            assert kept.count() <= 3 * 4 * 3 + 4
+
+
+def test_versions_are_hashed_and_not_sorted(spark, root):
+    rows_frame(spark, random_events(spark, 100), registry.EVENTS).write.parquet(f"{root}/log")
+    events = spark.read.parquet(f"{root}/log")
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (registry._marks(events), registry.versions(events))]
+    assert all("SortAggregate" not in p and "HashAggregate" in p for p in plans)
+
+
+def test_snapshot_and_tail(spark, root):
+    reg = registry.ModelRegistry(spark, root)
+    reg.register("a", "run-1", "Staging", "first")
+    reg.register("b", "run-2")
+    reg.transition("a", {1: "Production"})
+    reg.delete("b")
+    before = state(reg.events())
+    assert reg.compact() == reg._last_seq() == 6
+    assert state(reg.events()) == before and reg.events().count() == 3
+    assert reg.register("b", "run-3") == 1 and reg._last_seq() == 7
+    reg.transition("a", {1: "Archived"})
+    assert reg.get("a", 1)["stage"] == "Archived" and reg.get("b", 1)["source"] == "run-3"
+    # A snapshot that is not in the table yet does not count.
+    rows_frame(spark, [], registry.EVENTS).write.parquet(f"{root}/model_states/half")
+    assert reg.get("a", 1)["description"] == "first"
+    reg.delete("a")
+    reg.delete("b")
+    assert reg.compact() == 10 and reg.events().count() == 0 and reg.register("a", "run-9") == 1 and reg._last_seq() == 11
+
+
+def test_pivot_finds_keys_itself(spark):
+    runs = spark.createDataFrame([(r, "e", r, "t", None) for r in ("r1", "r2", "r3")], tracking.RUNS)
+    params = spark.createDataFrame([("r1", "a", "1"), ("r1", "a", "2"), ("r2", "b", "x"), ("r2", "n", None)], tracking.PARAMS)
+    metrics = spark.createDataFrame([("r1", "a", 0.5), ("r2", "z", float("nan"))], tracking.METRICS)
+    wide = tracking.search_runs(runs, params, metrics)
+    assert wide.columns == [*runs.columns, "param_a", "param_b", "metric_a", "metric_z"]
+    rows = {r["run_id"]: r for r in wide.collect()}
+    assert (rows["r1"]["param_a"], rows["r1"]["param_b"], rows["r1"]["metric_a"]) == ("2", None, 0.5)
+    assert rows["r2"]["param_b"] == "x" and rows["r2"]["metric_z"] != rows["r2"]["metric_z"] and rows["r3"]["metric_a"] is None
+    one = tracking.with_values(runs.where("run_id = 'r2'"), params, metrics, ["b"], ["a"])
+    assert [(r["param_b"], r["metric_a"]) for r in one.collect()] == [("x", None)]
+    nothing = tracking.search_runs(runs, params.limit(0), metrics.limit(0))
+    assert nothing.columns == runs.columns and nothing.count() == 3
