@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from tabprep.llm.common import free_names
 from tabprep.llm.pii_spans import KINDS, base_spans, candidates, features, masked, written
 from tabprep.session import reliable_checkpoint
 
-#: Candidates that the classifier is fitted on, at most; taken in the order of a hash.
+#: Distinct candidates that the classifier is fitted on, at most: as many of each kind and vote pattern, by hash.
 SAMPLE = 20_000
 ACCEPT = 0.9
 
@@ -48,16 +50,20 @@ def estimate_reliability(counts: Mapping[tuple[int, ...], int], rounds: int = 50
     return dict(zip(patterns, post.tolist())), shares
 
 
-def fit_classifier(rows: list[list[float]], targets: list[float], steps: int = 300, penalty: float = 1e-3):
-    """Weights of a logistic regression on soft targets; the last one is the constant."""
+def fit_classifier(
+    rows: list[list[float]], targets: list[float], weights: list[float] | None = None, steps: int = 300, penalty: float = 1e-3
+):
+    """Weights of a logistic regression on soft targets of weighted rows; the last one is the constant."""
     import numpy as np
 
     x = np.array([[*r, 1.0] for r in rows])
     y = np.array(targets)
+    share = np.ones(len(y)) if weights is None else np.array(weights, dtype=float)
+    share = share / share.sum()
     w = np.zeros(x.shape[1])
     for _ in range(steps):
-        gap = 1 / (1 + np.exp(-(x @ w))) - y
-        w -= 0.5 * (x.T @ gap / len(y) + penalty * w)
+        gap = share * (1 / (1 + np.exp(-(x @ w))) - y)
+        w -= 0.5 * (x.T @ gap + penalty * w)
     return w
 
 
@@ -89,8 +95,12 @@ class SpanModel(NamedTuple):
 def fit_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> SpanModel:
     """Votes of all candidates in all texts weigh the labelers; a bounded sample fits the classifier.
 
-    Only counts of vote patterns (at most 27) and the sample reach the driver. The sample is
-    the ``sample`` candidates with the smallest hashes of kind, votes and features.
+    Equal candidates are one row with their number from the first aggregate on, so a vector that
+    a third of all rows share is neither all of the sample nor a burden to one task. The
+    sample takes the same number of distinct rows of every kind and vote pattern, by the hash of
+    their features, all where there are fewer; a row weighs as many candidates as it stands for.
+    Only counts of vote patterns (at most 27 a kind) and the sample reach the driver, and no size
+    or skew of a table can leave the sample empty.
     """
 
     def collect(batches: Iterator) -> Iterator:
@@ -109,17 +119,34 @@ def fit_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Span
                 ["votes", "features"],
             )
 
-    found = reliable_checkpoint(docs.select(text).mapInArrow(collect, "votes array<int>, features array<double>"))
-    counts = {tuple(r["votes"]): r["count"] for r in found.groupBy("votes").count().collect()}
-    posterior, _ = estimate_reliability(counts)
-    # Hashes are spread evenly, so below this bound lie about half as many again as are wanted.
-    bound = min((1 << 63) - 1, (3 * sample << 64) // (2 * max(1, sum(counts.values()))) - (1 << 63))
-    row = F.xxhash64("votes", "features")
-    picked = found.where(row <= bound).orderBy(row, "votes", "features").limit(sample).collect()
-    if not picked:
+    found = docs.select(text).mapInArrow(collect, "votes array<int>, features array<double>")
+    kind = F.slice("features", 1, len(KINDS)).alias("kind")
+    rows = reliable_checkpoint(found.groupBy("votes", "features").count()).select("*", kind)
+    patterns = rows.groupBy("kind", "votes").agg(F.count("*").alias("distinct"), F.sum("count").alias("total")).collect()
+    if not patterns:
         return SpanModel([])
-    weights = fit_classifier([r["features"] for r in picked], [posterior[tuple(r["votes"])] for r in picked])
-    return SpanModel(weights.tolist())
+    counts: Counter = Counter()
+    for p in patterns:
+        counts[tuple(p["votes"])] += p["total"]
+    posterior, _ = estimate_reliability(counts)
+    quota = max(1, sample // len(patterns))
+    # Hashes are spread evenly, so below this bound lie about twice as many as are wanted; then the first are taken.
+    large = [p for p in patterns if p["distinct"] > 2 * quota]
+    hashed = F.xxhash64("features", "votes")
+    below = F.lit(True)
+    for p in large:
+        own = (F.col("kind") == F.array(*map(F.lit, p["kind"]))) & (F.col("votes") == F.array(*map(F.lit, p["votes"])))
+        below &= ~own | (hashed <= (2 * quota << 64) // p["distinct"] - (1 << 63))
+    order = Window.partitionBy("kind", "votes").orderBy(hashed, "features")
+    picked = rows.where(below).withColumn("place", F.row_number().over(order)).where(F.col("place") <= quota).collect()
+    held: Counter = Counter()
+    for r in picked:
+        held[tuple(r["kind"]), tuple(r["votes"])] += r["count"]
+    whole = {(tuple(p["kind"]), tuple(p["votes"])): p["total"] for p in patterns}
+    stands_for = {key: whole[key] / n for key, n in held.items()}
+    weights = [r["count"] * stands_for[tuple(r["kind"]), tuple(r["votes"])] for r in picked]
+    fitted = fit_classifier([r["features"] for r in picked], [posterior[tuple(r["votes"])] for r in picked], weights)
+    return SpanModel(fitted.tolist())
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", model: SpanModel | None = None) -> DataFrame:
@@ -129,7 +156,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", model: SpanModel | N
     commas. Base spans always stay; others are added where at least one labeler says yes, none
     says no and the classifier is sure. Without ``model`` one is fitted on ``docs``.
 
-    Null texts count as empty and are masked to empty ones; rows are judged one by one, so
+    Texts are searched whole, whatever their length. Null ones count as empty and are masked to empty ones; rows are judged one by one, so
     repeated rows all stay and no rows give none. Columns of ``docs`` that bear a name of the
     result are renamed with closing underscores.
     """

@@ -164,6 +164,20 @@ def test_model_probabilities_sum_to_one_and_look_back_only():
     assert np.allclose(lm_model.log_probabilities(p, vocabulary, before, *args), lm_model.log_probabilities(p, vocabulary, other, *args), atol=1e-5)
 
 
+def test_extreme_logits_give_finite_probabilities():
+    rng = np.random.default_rng(1)
+    vocabulary = lm_model.Vocabulary.of(rng.integers(0, 50, lm_model.IDS).astype(float))
+    before = rng.integers(0, lm_model.IDS, (8, lm_model.LENGTH))
+    args = (rng.integers(0, lm_model.IDS, 64), np.arange(64) * 4)
+    for scale in (1e-6, 30.0, 3000.0):
+        p = {n: v * np.float32(scale) if n in "QKUM" else v for n, v in lm_model.start().items()}
+        p["c"] = p["c"] - np.float32(500)
+        found = lm_model.log_probabilities(p, vocabulary, before, *args)
+        loss, grad = lm_model.gradients(p, vocabulary, before, *args)
+        assert np.isfinite(found).all() and (found <= 1e-3).all() and np.isfinite(loss)
+        assert all(np.isfinite(g).all() for g in grad.values())
+
+
 def test_every_id_is_scored_once():
     ids = [np.arange(n) + 5 for n in (1, 31, 32, 33, 56, 57, 200)]
     windows = lm_model.Windows(ids)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabprep.llm import pii, quality
 from tabprep.llm.packing import best_fit_decreasing, pack_documents
 from tabprep.llm.packing_queries import op6_packing
+from tabprep.llm.pii_queries import op7_pii
 from tabprep.llm.pii_spans import base_spans, masked
 from tabprep.llm.subwords import byte_bpe, byte_bpe_special, encoder
 from tabprep.llm.substrings import remove_repeated
@@ -170,6 +171,31 @@ def test_loose_spans_are_added_where_labelers_agree(spark, docs_of):
     assert pii.find_personal_data(docs.limit(0)).count() == 0
 
 
+def test_query_of_personal_data_against_plain_patterns(spark, folder):
+    bodies = texts(spark, folder)
+    found = {r["doc_id"]: r for r in op7_pii(spark, folder).collect()}
+    assert found.keys() == bodies.keys()
+    for i, body in bodies.items():
+        base = plain_spans(body or "")
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        r = found[i]
+        assert [r[f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [sum(s[0] == k for s in base) for k in ("email", "ip", "card", "phone")]
+        assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert {s for s in text.split(",") if s} <= set(r["spans"].split(","))
+
+
+def test_sample_holds_every_pattern_whatever_the_hot_vector(spark, docs_of):
+    hot = [(i, "write to jo.doe@mail.example.com today") for i in range(3000)]
+    rows = hot + [(9000 + i, f"call +1 (504) 555-37{i % 100:02d} or order {i} 5046-55-1234") for i in range(200)]
+    rows += [(9999, "email jo (at) mail (dot) com"), (9999, "email jo (at) mail (dot) com"), (10000, "x" * 1_200_000 + " a@b.cd")]
+    docs = docs_of(rows)
+    for sample in (3, 50, 20_000):
+        model = pii.fit_spans(docs, sample=sample)
+        assert len(model.weights) > 30
+        found = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs, model=model).collect()}
+        assert found[0] == "email:9:32" and found[10000] == "email:1200001:1200007"
+
+
 def test_reliabilities_are_found_from_votes():
     rng = np.random.default_rng(4)
     truth = rng.random(20_000) < 0.3
