@@ -43,6 +43,9 @@ HEADLINE = [
     "rf_regression",
     "gbt_regression",
     "cv_results",
+    "search_trials",
+    "label_ranks",
+    "csv_quoted_splits",
     "runs_pivot",
     "registry_current_stage",
     "clean_split_fit",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.columns import missing, numeric_columns, present, string_columns
-from tabprep.operators.quantiles import exact_quantiles, median
+from tabprep.operators.quantiles import median, quantiles_beside
 from tabprep.sources.tables import rows_frame
 
 
@@ -60,17 +60,51 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return _unpivot(df.agg(*parts), names, {"n": "n", "min_text": "lo", "max_text": "hi"})
 
 
-def summarize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``describe_numeric`` with exact quartiles (elements of the column) added."""
-    names = list(columns) if columns else numeric_columns(df)
-    quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
-    picked = F.create_map(*[x for n in names for x in (F.lit(n), F.array(*map(_double, quartiles[n])))])
-    q = picked[F.col("column_name")]
-    return describe_numeric(df, names).withColumns({"q25": q[0], "q50": q[1], "q75": q[2]})
+_SUMMARY = T.StructType(
+    [T.StructField("column_name", T.StringType()), T.StructField("n", T.LongType())]
+    + [T.StructField(c, T.DoubleType()) for c in ("mean", "stddev", "min_value", "max_value", "q25", "q50", "q75")]
+)
+
+
+def _moments(values: Column) -> Column:
+    """(n, mean, squares) of a value: rows, mean and squared distance from it, of a group of partitions."""
+    n = F.count(values)
+    return F.struct(n.alias("n"), F.coalesce(F.avg(values), F.lit(0.0)).alias("mean"), F.coalesce(F.var_pop(values) * n, F.lit(0.0)).alias("squares"))
+
+
+def _merge_moments(parts: Column) -> Column:
+    """The moments of all groups from those of each; nothing large cancels."""
 
+    def add(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        apart, part = b["mean"] - a["mean"], F.when(n > 0, b["n"] / n).otherwise(F.lit(0.0))
+        squares = a["squares"] + b["squares"] + apart * apart * a["n"] * part
+        return F.struct(n.alias("n"), (a["mean"] + apart * part).alias("mean"), squares.alias("squares"))
 
-def _double(value: float | None) -> Column:
-    return F.lit(value).cast("double")
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+    return F.aggregate(parts, none, add)
+
+
+def summarize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``describe_numeric`` with exact quartiles (elements of the column) added.
+
+    Everything but the quartiles comes from the pass that first looks for those.
+    """
+    names = list(columns) if columns else numeric_columns(df)
+    values = [present(df, n).cast("double") for n in names]
+    partial = {k: c for i, v in enumerate(values) for k, c in ((f"m{i}", _moments(v)), (f"lo{i}", F.min(v)), (f"hi{i}", F.max(v)))}
+    merged = {
+        k: c
+        for i in range(len(names))
+        for k, c in ((f"m{i}", _merge_moments(F.collect_list(f"m{i}"))), (f"lo{i}", F.min(f"lo{i}")), (f"hi{i}", F.max(f"hi{i}")))
+    }
+    quartiles, found = quantiles_beside(df, names, [0.25, 0.5, 0.75], partial, merged)
+    rows = []
+    for i, name in enumerate(names):
+        n, mean, squares = found[f"m{i}"]
+        spread = (squares / (n - 1)) ** 0.5 if n > 1 else None
+        rows.append((name, n, mean if n else None, spread, found[f"lo{i}"], found[f"hi{i}"], *quartiles[name]))
+    return rows_frame(df.sparkSession, rows, _SUMMARY)
 
 
 def median_frame(df: DataFrame, column: str) -> DataFrame:

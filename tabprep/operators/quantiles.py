@@ -5,7 +5,8 @@ Spark's ``median`` keeps every distinct value of the column in one task, and
 sketch only brackets the exact answer: each round counts how many rows lie
 below, on and inside the bracket and goes on with the rows inside, which are
 fewer by a factor of about a thousand. Once few enough rows are left, one more
-aggregate picks the exact element. Every pass is one map-side combined aggregate
+aggregate picks the exact elements; the rows it holds for all columns and ranks
+together have one budget, and what does not fit is narrowed further first. Every pass is one map-side combined aggregate
 over all columns and ranks at once; only a handful of numbers per rank reach the
 driver. Up to ``EXACT_ROWS`` rows take two passes, a thousand times as many
 three, and every further factor of a thousand two more.
@@ -64,13 +65,21 @@ def _around(share: float) -> list[float]:
     return [max(share - BRACKET_MARGIN, 0.0), min(share + BRACKET_MARGIN, 1.0)]
 
 
-def _merged_sketches(df: DataFrame, values: Sequence[Column]) -> DataFrame:
-    """One row with a KLL sketch ``s<i>`` per value column, merged by groups of partitions first."""
+def _merged_sketches(
+    df: DataFrame, values: Sequence[Column], partial: Mapping[str, Column] | None = None, merged: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One row with a KLL sketch ``s<i>`` per value column, merged by groups of partitions first.
+
+    ``partial`` aggregates are formed beside the sketches, and ``merged`` ones of them, in the same pass.
+    """
     names = [f"s{i}" for i in range(len(values))]
     grouped = df.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("_group")).agg(
-        *[F.kll_sketch_agg_double(v, F.lit(SKETCH_SIZE)).alias(n) for n, v in zip(names, values)]
+        *[F.kll_sketch_agg_double(v, F.lit(SKETCH_SIZE)).alias(n) for n, v in zip(names, values)],
+        *[c.alias(n) for n, c in (partial or {}).items()],
+    )
+    return grouped.agg(
+        *[F.kll_merge_agg_double(n).alias(n) for n in names], *[c.alias(n) for n, c in (merged or {}).items()]
     )
-    return grouped.agg(*[F.kll_merge_agg_double(n).alias(n) for n in names])
 
 
 def _quantiles(sketch: str, shares: Sequence[float]) -> Column:
@@ -144,8 +153,19 @@ def _narrow(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Sea
             s.rank, s.rows, s.low = s.rank - skipped, s.rows - skipped, b
 
 
+def _too_many(searches: Sequence[_Search], budget: int) -> list[_Search]:
+    """The open searches whose rows do not fit one aggregate with those of the others, largest first to go."""
+    groups = sorted(_by_interval([s for s in searches if s.answer is None]), key=lambda g: max(s.rows for s in g))
+    held, out = 0, []
+    for group in groups:
+        held += max(s.rows for s in group)
+        if held > budget:
+            out += group
+    return out
+
+
 def _resolve(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Search], exact_rows: int) -> None:
-    while wide := [s for s in searches if s.answer is None and s.rows > exact_rows]:
+    while wide := _too_many(searches, exact_rows):
         if unbracketed := [s for s in wide if s.bracket is None]:
             _bracket(df, values, unbracketed)
         _narrow(df, values, wide)
@@ -154,17 +174,18 @@ def _resolve(df: DataFrame, values: Mapping[str, Column], searches: Sequence[_Se
 
 
 def _first_look(
-    df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float]
-) -> dict[str, tuple[int, list[tuple[float, float]]]]:
-    """Per column the exact number of values and a bracket per probability, in one pass."""
+    df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float], partial: Mapping[str, Column], merged: Mapping[str, Column]
+) -> tuple[dict[str, tuple[int, list[tuple[float, float]]]], dict]:
+    """Per column the exact number of values and a bracket per probability, and the merged aggregates, in one pass."""
     shares = [share for p in probabilities for share in _around(p)]
-    sketches = _merged_sketches(df, list(values.values()))
+    sketches = _merged_sketches(df, list(values.values()), partial, merged)
     asked = [x for i in range(len(values)) for x in (F.kll_sketch_get_n_double(f"s{i}"), _quantiles(f"s{i}", shares))]
-    row = sketches.select(*asked).first()
-    return {
+    row = sketches.select(*asked, *merged).first()
+    found = {
         name: (row[2 * i] or 0, list(zip(row[2 * i + 1][::2], row[2 * i + 1][1::2])) if row[2 * i] else [])
         for i, name in enumerate(values)
     }
+    return found, {name: row[name] for name in merged}
 
 
 def _position(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
@@ -187,10 +208,27 @@ def exact_quantiles(
     """Exact quantiles per column; missing values do not count, an empty column gives ``None``.
 
     Without ``interpolate`` the result is an element of the column (the smallest
-    whose cumulative share reaches p); with it, neighbours are blended linearly.
+    whose cumulative share reaches p); with it, neighbours are blended linearly. ``exact_rows`` bounds
+    the rows that the last aggregate holds, of all columns and probabilities together.
+    """
+    return quantiles_beside(df, columns, probabilities, {}, {}, interpolate, exact_rows)[0]
+
+
+def quantiles_beside(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    partial: Mapping[str, Column],
+    merged: Mapping[str, Column],
+    interpolate: bool = False,
+    exact_rows: int = EXACT_ROWS,
+) -> tuple[dict[str, list[float | None]], dict]:
+    """``exact_quantiles``, and other aggregates from their first pass.
+
+    ``partial`` are aggregates over groups of partitions, ``merged`` ones over those; values of the latter come back.
     """
     values = {name: present(df, name).cast("double") for name in columns}
-    looked = _first_look(df, values, probabilities)
+    looked, extra = _first_look(df, values, probabilities, partial, merged)
     searches: dict[tuple[str, int], _Search] = {}
     places: dict[str, list[tuple[int, int, float]]] = {}
     for name, (n, brackets) in looked.items():
@@ -206,10 +244,11 @@ def exact_quantiles(
         a, b = searches[(name, low)].answer, searches[(name, high)].answer
         return a if weight == 0.0 else a + (b - a) * weight
 
-    return {
+    quantiles = {
         name: [blend(name, *place) for place in places[name]] if name in places else [None] * len(probabilities)
         for name in columns
     }
+    return quantiles, extra
 
 
 def median(df: DataFrame, column: str) -> float | None:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 
 from tabprep.operators import clean
 from tabprep.operators.impute import impute_median
+from tabprep.session import shared_path
+from tabprep.sources.tables import overwrite_table, read_table
 
 # The columns kept of a listings file, and those that get imputed.
 LISTING_COLUMNS = [
@@ -60,11 +62,13 @@ def clean_listings(
 ) -> DataFrame:
     """Project, parse the price, cut outliers, cast all numbers but ``keys``, flag and impute by median.
 
-    Projection and filters are narrow. The median needs extra passes over the
-    imputed columns only; the result itself is one scan without a shuffle.
+    Projection and filters are narrow. Texts are parsed once: the cleaned rows go to the shared folder,
+    the passes that look for medians read only the imputed columns of those, and missing values
+    are filled as the result is read.
     """
     rows = clean.clean_currency(clean.select_columns(df, columns), price)
     rows = clean.filter_open_range(rows, price, *price_range)
     rows = clean.filter_upper_bound(rows, nights, max_nights)
     rows = clean.add_missing_flags(clean.cast_numbers_to_double(rows, spare=keys), imputed)
-    return impute_median(rows, imputed)
+    landed = overwrite_table(rows, shared_path(df.sparkSession, "cleaned"))
+    return impute_median(read_table(df.sparkSession, landed), imputed)

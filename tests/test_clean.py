@@ -124,6 +124,7 @@ def test_roles_take_every_numeric_type(spark):
 
 def test_imputer_example(spark):
     nan = float("nan")
+    # Rows of the worked imputation example.
     df = spark.createDataFrame([(1.0, nan), (2.0, nan), (nan, 3.0), (4.0, 4.0), (5.0, 5.0)], "a double, b double")
     for out in (
         impute.impute_mean(df, ["a", "b"], {"a": "out_a", "b": "out_b"}),

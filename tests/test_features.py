@@ -8,6 +8,7 @@ from tabprep.functions.columns import ColumnRoles
 from tabprep.operators import features, ranking
 
 
+# Rows of the worked examples for index, one-hot, assembler and formula.
 def test_index_example(spark):
     df = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "a"), (4, "a"), (5, "c")], "id int, category string")
     for out in (

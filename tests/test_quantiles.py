@@ -104,3 +104,43 @@ def test_histogram_has_empty_bins(spark):
     rows = profile.histogram(frame(spark, [0, 10, float("nan"), None]), "x", 5).collect()
     assert sorted((r["bin"], r["low"], r["n_rows"]) for r in rows) == [(0, 0.0, 1), (1, 2.0, 0), (2, 4.0, 0), (3, 6.0, 0), (4, 8.0, 1)]
     assert profile.histogram(frame(spark, [None]), "x", 5).collect() == []
+
+
+def test_one_budget_for_all_columns_and_ranks(spark, monkeypatch):
+    """22 columns and three quartiles: no last aggregate holds more rows than one budget."""
+    n, names = 4000, [f"c{k}" for k in range(22)]
+    df = spark.range(n).select(*[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(50 + 40 * k * k)).cast("double").alias(c) for k, c in enumerate(names)])
+    held = []
+    pick = quantiles._pick
+
+    def watched(frame, values, searches):
+        held.append(sum(max(s.rows for s in g) for g in quantiles._by_interval(searches)))
+        pick(frame, values, searches)
+
+    monkeypatch.setattr(quantiles, "_pick", watched)
+    table = df.toPandas()
+    for budget in (300, 5000, 10**6):
+        found = quantiles.exact_quantiles(df, names, [0.25, 0.5, 0.75], exact_rows=budget)
+        for c in names:
+            ordered = sorted(table[c])
+            assert found[c] == [ordered[max(1, -(-int(p * 100) * n // 100)) - 1] for p in (0.25, 0.5, 0.75)]
+    assert held and all(h <= b for h, b in zip(sorted(held), sorted((300, 5000, 10**6))[-len(held) :]))
+
+
+def test_summary_takes_two_scans_and_merges_moments(spark, root):
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 0.5 + 1e6).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("b"), F.lit(None).cast("int").alias("c"))
+    df.write.parquet(f"{root}/t")
+    read = spark.read.parquet(f"{root}/t")
+    table = df.toPandas()
+    spark.sparkContext.setJobGroup("summary", "")
+    try:
+        found = {r["column_name"]: r for r in profile.summarize(read).collect()}
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("summary") for s in tracker.getJobInfo(j).stageIds]
+        tasks = sum(i.numCompletedTasks for s in set(stages) if (i := tracker.getStageInfo(s)) and i.numTasks > 1)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found["a"]["stddev"] == pytest.approx(table["a"].std(), rel=1e-12) and found["a"]["mean"] == pytest.approx(table["a"].mean())
+    assert (found["b"]["n"], found["b"]["min_value"], found["b"]["max_value"]) == (int(table["b"].count()), 0.0, 10.0)
+    assert (found["c"]["n"], found["c"]["mean"], found["c"]["stddev"], found["c"]["q50"]) == (0, None, None, None)
+    assert tasks <= 2 * read.rdd.getNumPartitions() + 8
