@@ -22,6 +22,15 @@ RULES = (
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"(?is)<link\b[^>]*>"
 _META = r"(?is)<meta\b[^>]*>"
+_BASE = r"(?is)<base\b[^>]*>"
+#: What stands inside is no markup.
+_NO_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\z)"
+_CANONICAL = r"(?i)\srel\s*=\s*(?:\"(?:[^\"]*\s)?canonical(?:\s[^\"]*)?\"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical(?=[\s/>]))"
+_REFRESH = r"(?i)http-equiv\s*=\s*[\"']?\s*refresh\b"
+#: A refresh after no time is a redirect.
+_AT_ONCE = r"(?i)\bcontent\s*=\s*[\"']?\s*0*(?:\.0*)?\s*[;,]"
+_HREF = r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"
+_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
 def host_of(url: Column) -> Column:
@@ -51,14 +60,11 @@ def action_of(rule: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return F.when(rule.isin(names["block"]), "block").when(rule.isin(names["allow"]), "allow")
 
 
-def query_of(url: Column) -> Column:
-    """The query with its question mark; empty if there is none."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1), F.lit(""))
-
-
-def alias_of(host: Column, path: Column, query: Column) -> Column:
-    """Scheme, fragment and the path's closing slashes do not make another page. Null without a host."""
-    return F.when(host != "", F.concat(host, F.regexp_replace(path, "/+$", ""), F.when(query != "?", query).otherwise("")))
+def alias_of(url: Column) -> Column:
+    """The page a url names: the url with scheme and host in lower case and without its fragment. Null without a host."""
+    front = F.regexp_extract(url, r"(?s)^(.*?://)", 1)
+    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
+    return F.when(host_of(url) != "", F.concat(lower_ascii(front), host_of(url), rest))
 
 
 def without_dots(path: Column) -> Column:
@@ -94,48 +100,44 @@ def resolved(base: Column, link: Column) -> Column:
     )
 
 
+def _first(tag: Column, *patterns: str) -> Column:
+    """What the first fitting pattern finds in a tag, with ampersands decoded; null if none fits."""
+    found = F.coalesce(*[F.nullif(F.regexp_extract(tag, p, 1), F.lit("")) for p in patterns])
+    return F.replace(found, F.lit("&amp;"), F.lit("&"))
+
+
+def _held(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """``frame`` with a column that is computed once; a mere projection would be copied into each later use."""
+    return frame.select(*[c for c in frame.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """(url, target) for the canonical links and immediate redirects that pages declare.
 
-    A target that is not absolute is resolved against the page's url.
+    Tags in comments, scripts, styles, templates and noscript elements do not count, nor does a refresh after
+    some time. A target that is not absolute is resolved against the page's base element if it has
+    one, else against its url.
     """
-    html = F.col("html")
+    marked = pages.where(F.col("html").rlike(r"(?i)\bcanonical\b|http-equiv")).select("url", "html")
+    clean = _held(marked, "html", F.regexp_replace("html", _NO_MARKUP, " "))
+    all_of = lambda pattern: F.regexp_extract_all(F.col("html"), F.lit(pattern), F.lit(0))
     tags = F.concat(
-        F.filter(
-            F.regexp_extract_all(html, F.lit(_LINK), F.lit(0)),
-            lambda t: t.rlike(
-                r"(?i)\srel\s*=\s*(?:\"(?:[^\"]*\s)?canonical(?:\s[^\"]*)?\"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical(?=[\s/>]))"
-            ),
-        ),
-        F.filter(
-            F.regexp_extract_all(html, F.lit(_META), F.lit(0)),
-            lambda t: t.rlike(r"(?i)http-equiv\s*=\s*[\"']?\s*refresh\b"),
-        ),
-    )
-    found = (
-        pages.where(html.rlike(r"(?i)\bcanonical\b|http-equiv"))
-        .select("url", F.explode(tags).alias("tag"))
-        .select(
-            "url",
-            F.replace(
-                F.coalesce(
-                    F.nullif(F.regexp_extract("tag", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1), F.lit("")),
-                    F.nullif(F.regexp_extract("tag", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1), F.lit("")),
-                ),
-                F.lit("&amp;"),
-                F.lit("&"),
-            ).alias("link"),
-        )
+        F.filter(all_of(_LINK), lambda t: t.rlike(_CANONICAL)),
+        F.filter(all_of(_META), lambda t: t.rlike(_REFRESH) & t.rlike(_AT_ONCE)),
     )
-    target = resolved(F.col("url"), F.col("link"))
-    return found.select("url", target.alias("target")).where("target is not null")
+    base = _first(F.regexp_extract("html", _BASE, 0), _HREF).alias("base")
+    found = clean.select("url", base, F.explode(tags).alias("tag"))
+    found = _held(found, "link", _first(F.col("tag"), _HREF, _URL)).where("link is not null").drop("tag")
+    on = F.coalesce(F.when(F.col("base").isNotNull(), resolved(F.col("url"), F.col("base"))), F.col("url"))
+    found = _held(_held(found, "on", on).drop("base"), "target", resolved(F.col("on"), F.col("link")))
+    return found.select("url", "target").where("target is not null")
 
 
 def judge_urls(pages: DataFrame, links: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict`` of each row's ``url``.
 
-    ``links(url, target)`` are redirects and canonical links. Urls are aliases if they agree
-    after ``alias_of`` or if a chain of links joins them, in either direction. A page with a
+    ``links(url, target)`` are redirects and canonical links. Urls are aliases if a chain of links
+    joins the pages they name (``alias_of``), in either direction, and by nothing else. A page with a
     rule of its own gets that rule's action. Any other page is blocked if one of its aliases
     is blocked by a rule and none is allowed by one; else it is allowed.
 
@@ -151,7 +153,7 @@ def judge_urls(pages: DataFrame, links: DataFrame, rules: Sequence[tuple[str, st
     def placed(frame: DataFrame, url: str) -> DataFrame:
         parts = frame.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
         rule = match_rule(F.col("host"), F.col("path"), rules)
-        return parts.withColumns({"rule": rule, node: alias_of(F.col("host"), F.col("path"), query_of(F.col(url)))}).withColumn(
+        return parts.withColumns({"rule": rule, node: alias_of(F.col(url))}).withColumn(
             "verdict", action_of(F.col("rule"), rules)
         )
 
