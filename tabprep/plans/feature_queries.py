@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabprep.operators import features, impute
 from tabprep.operators.label_ranks import LabelRanker
 from tabprep.operators.split import split_parts
+from tabprep.operators.wide_formula import WideFormula
 from tabprep.plans import roles
 from tabprep.plans.catalog import query, table
 from tabprep.plans.cleaning_queries import KEYS, KEYS_SQL, priced
@@ -211,22 +212,36 @@ def rformula_terms(spark, folder):
     return _slots(formula.fit(part).transform(part), "features", _TYPE_SLOTS + 1, "p_partkey", "label")
 
 
-@query(
-    "rformula_all",
+_ALL_SQL = (
     f"""WITH typed_part AS (
           SELECT CASE WHEN p_partkey % 11 <> 0 THEN p_type END AS p_type, p_size, p_retailprice FROM part),
         i AS ({_index_sql('typed_part', 'p_type')}), typed AS (SELECT * FROM typed_part JOIN i USING (p_type))
-        SELECT p_retailprice AS label, {_slots_sql(_TYPE_SLOTS)}, CAST(p_size AS DOUBLE) AS slot{_TYPE_SLOTS} FROM typed""",
+        SELECT p_retailprice AS label, {_slots_sql(_TYPE_SLOTS)}, CAST(p_size AS DOUBLE) AS slot{_TYPE_SLOTS} FROM typed"""
 )
-def rformula_all(spark, folder):
-    """Label against all other columns; rows without a category are skipped."""
-    part = table(spark, folder, "part").select(
+
+
+def _typed_part(spark, folder):
+    return table(spark, folder, "part").select(
         F.when(F.col("p_partkey") % 11 != 0, F.col("p_type")).alias("p_type"), "p_size", "p_retailprice"
     )
+
+
+@query("rformula_all", _ALL_SQL)
+def rformula_all(spark, folder):
+    """Label against all other columns; rows without a category are skipped."""
+    part = _typed_part(spark, folder)
     formula = features.formula_stage("p_retailprice ~ .", handle_invalid="skip")
     return _slots(formula.fit(part).transform(part), "features", _TYPE_SLOTS + 1, "label")
 
 
+@query("rformula_wide", _ALL_SQL)
+def rformula_wide(spark, folder):
+    """The same formula with its labels kept as a table."""
+    part = _typed_part(spark, folder)
+    formula = WideFormula.fit(part, "p_retailprice ~ .", shared_path(spark, "formula"))
+    return _slots(formula.transform(part), "features", _TYPE_SLOTS + 1, "label")
+
+
 @query(
     "rformula_minus",
     f"""{_TYPED_SQL} SELECT round(ln(p_retailprice), 6) AS label, {_slots_sql(_TYPE_SLOTS)},

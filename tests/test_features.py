@@ -1,11 +1,14 @@
 import math
+import random
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import ColumnRoles
-from tabprep.operators import features, ranking
+from tabprep.operators import features, models, ranking
+from tabprep.operators.wide_formula import WideFormula
 
 
 # Rows of the worked examples for index, one-hot, assembler and formula.
@@ -117,3 +120,36 @@ def test_log_is_null_where_it_has_no_value(spark):
     logged = features.undo_log(features.add_log(df, "price", "log_price"), "log_price", "again")
     assert [r["log_price"] for r in logged.collect()] == [1.0, None, None, None, None]
     assert logged.first()["again"] == pytest.approx(math.e)
+
+
+def test_wide_formula_equals_the_narrow_one(spark, root):
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "b", "c", "d", None]), rng.randrange(9), rng.choice("xyz"), float(k), k) for k in range(200)]
+    df = spark.createDataFrame(rows, "s string, n int, t string, y double, id int")
+    for k, text in enumerate(["y ~ .", "y ~ . - id", "y ~ t + n", "y ~ n + s + t - t", "y ~ n"]):
+        wide = WideFormula.fit(df, text, f"{root}/{k}").transform(df)
+        narrow = features.formula_stage(text, handle_invalid="skip").fit(df).transform(df)
+        read = lambda d: sorted((r["id"], tuple(r["features"].toArray()), r["label"]) for r in d.collect())
+        assert read(wide) == read(narrow), text
+    fitted = WideFormula.fit(df, "y ~ s", f"{root}/s")
+    new = spark.createDataFrame([("a", 1), ("new", 2), (None, 3)], "s string, features int")
+    out = fitted.transform(new)
+    assert out.columns == ["s", "features"] and [r["s"] for r in out.collect()] == ["a"]
+    for bad in ("y", "y ~ a:b", "~ s", "y ~ nothing"):
+        with pytest.raises(ValueError):
+            WideFormula.fit(df, bad, f"{root}/bad")
+
+
+def test_wide_formula_of_very_many_labels(spark, root):
+    i = F.col("id")
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.concat(F.lit("label-"), F.pmod(F.xxhash64(i), F.lit(150_000)).cast("string")).alias("k"), (i % 7).cast("double").alias("x"), (i % 11).cast("double").alias("price")
+    )
+    formula = WideFormula.fit(df, "price ~ .", f"{root}/wide")
+    out = formula.transform(df)
+    assert formula.sizes["k"] > 100_000 and "label-" not in str(out.schema["features"].metadata)
+    row = out.first()
+    assert isinstance(row["features"], SparseVector) and row["features"].size == formula.sizes["k"]
+    assert row["features"].numNonzeros() <= 2 and out.count() == 200_000
+    model = models.linear_regression("label", maxIter=3, solver="l-bfgs").fit(out.select("features", "label"))
+    assert model.numFeatures == formula.sizes["k"]
