@@ -45,10 +45,16 @@ class WideFormula:
 
     @classmethod
     def fit(cls, df: DataFrame, formula: str, path: str) -> WideFormula:
-        """Count and rank the labels of each string column and write them below ``path``, a shared folder."""
+        """Count and rank the labels of each string column and write them below ``path``, a shared folder.
+
+        Rows without a label are left out from one column to the next, as ``skip`` does in a formula.
+        """
         label, names = formula_columns(formula, df.columns)
         text = [c for c in names if isinstance(df.schema[c].dataType, T.StringType)]
-        indexes = {c: WideIndex.fit(df, c, f"{path}/{i}") for i, c in enumerate(text)}
+        indexes, rows = {}, df
+        for i, c in enumerate(text):
+            indexes[c] = WideIndex.fit(rows, c, f"{path}/{i}")
+            rows = rows.where(F.col(c).isNotNull())
         sizes = {c: index.labels(df.sparkSession).count() for c, index in indexes.items()}
         return cls(label, tuple(names), indexes, sizes)
 
@@ -59,6 +65,9 @@ class WideFormula:
         no label names, so the schema stays small whatever the labels are.
         """
         kept = df.columns
+        if output in self.features:
+            raise ValueError(f"{output!r} is a feature")
+        df = df.drop(output)
         for name, index in self.indexes.items():
             df = index.transform(df, "skip")
             count = {"ml_attr": {"type": "nominal", "num_vals": self.sizes[name]}}

@@ -149,5 +149,6 @@ def search_retrain_boosting(spark, folder):
     )
     run = log.runs().where(F.col("run_name") == BEST).first()["run_id"]
     scored = models.score(log.load_model(run), test)
-    again = rounded_metrics(evaluate.log_scale_metrics(scored, DEAL_LABEL, "prediction"))
-    return _refitted_run(log, BOOSTED_CELLS).select(*BOOSTED_CELLS).join(again)
+    again = rounded_metrics(evaluate.log_scale_metrics(scored, DEAL_LABEL, "prediction")).first()
+    measured = [F.lit(again[c]).cast(kind).alias(c) for c, kind in (("n_rows", "long"), ("rmse", "double"), ("r2", "double"))]
+    return _refitted_run(log, BOOSTED_CELLS).select(*BOOSTED_CELLS, *measured)
