@@ -78,7 +78,7 @@ def _arrow_type(data_type: T.DataType) -> pa.DataType:
 
 
 #: A kept frame of n units gets the root of n partitions, but none larger than the most.
-KEPT_UNIT, KEPT_MOST_BYTES = 64 << 10, 128 << 20
+KEPT_UNIT, KEPT_MOST_BYTES = 256 << 10, 128 << 20
 #: The session setting that names a number of partitions for all kept frames.
 KEPT_KEY = "spark.tabprep.keptPartitions"
 #: A partition with this many times the mean number of rows holds copies of some row.
@@ -102,7 +102,7 @@ def kept_partitions(df: DataFrame) -> int:
     unless the session names a number.
 
     Number and size of partitions grow alike, so that a fit over few rows is not all task
-    overhead (3 MB: 7 partitions, 1 GB: 128), until partitions have ``KEPT_MOST_BYTES``; then the number does.
+    overhead (3 MB: 3 partitions, 1 GB: 64), until partitions have ``KEPT_MOST_BYTES``; then the number does.
     """
     named = int(df.sparkSession.conf.get(KEPT_KEY, "0"))
     if named:

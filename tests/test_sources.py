@@ -120,7 +120,7 @@ def test_layout_of_a_kept_frame_depends_on_its_rows_alone(spark):
 def test_partitions_follow_rows_and_width_and_not_the_layout(spark, monkeypatch):
     df = spark.range(0, 10_000, 1, 3).select("id", F.lit("x" * 100).alias("t"))
     size = 10_000 * 116
-    assert tables.kept_partitions(df) == tables.kept_partitions(df.repartition(11)) == isqrt(size // tables.KEPT_UNIT) == 4
+    assert tables.kept_partitions(df) == tables.kept_partitions(df.repartition(11)) == isqrt(size // tables.KEPT_UNIT) == 2
     monkeypatch.setattr(tables, "KEPT_UNIT", 1000)
     assert tables.kept_partitions(df) == 34
     monkeypatch.setattr(tables, "KEPT_MOST_BYTES", 20_000)
