@@ -2,8 +2,9 @@ import time
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import ColumnRoles
@@ -100,6 +101,42 @@ def test_ranks_are_saved_with_a_pipeline_and_fitted_inside_folds(spark, data, ro
     assert found.avgMetrics[0] > own / 3 * 0.99 and own > 5
 
 
+class _CountedIndexer(Estimator):
+    """An indexer that counts how often it is fitted."""
+
+    fits = 0
+
+    def _fit(self, df):
+        type(self).fits += 1
+        return features.indexer_stage(["k"], "skip").fit(df)
+
+
+def test_folds_fit_the_encoding_once_each_and_give_the_same_metrics(spark):
+    i = F.col("id")
+    df = spark.range(300).select(
+        F.concat(F.lit("k"), (i % 7).cast("string")).alias("k"), (i % 11).cast("double").alias("x"),
+        (i % 7 * 3 + i % 11).cast("double").alias("y"), (i % 3).cast("int").alias("fold"),
+    )
+    forest = models.forest_regressor("y")
+    pipeline = Pipeline(stages=[_CountedIndexer(), features.assembler_stage(["k_index", "x"]), forest])
+    maps = tune.param_maps(forest, {"maxDepth": [1, 4], "numTrees": [2, 3]})
+    evaluator = RegressionEvaluator(labelCol="y")
+    rows = df.repartition(3, "k").persist()
+    found = tune.cross_validate(rows, pipeline, maps, evaluator)
+    assert _CountedIndexer.fits == 3 + 1
+    plain = CrossValidator(
+        estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator, numFolds=3, foldCol="fold", seed=tune.SEED
+    ).fit(rows)
+    rows.unpersist()
+    assert found.avgMetrics == pytest.approx(plain.avgMetrics, rel=1e-12)
+    assert found.stdMetrics == pytest.approx(plain.stdMetrics, rel=1e-9)
+    assert found.getEstimatorParamMaps() == maps and found.bestModel.stages[-1].getNumTrees == plain.bestModel.stages[-1].getNumTrees
+    with pytest.raises(Exception, match="Fold number must be in range"):
+        tune.cross_validate(df.withColumn("fold", F.lit(3)), pipeline, maps, evaluator)
+    with pytest.raises(ValueError, match="validation data at fold 2"):
+        tune.cross_validate(df.where("fold <> 2"), pipeline, maps, evaluator)
+
+
 def test_very_many_labels_fit_about_as_fast_as_none(spark):
     i = F.col("id")
     df = spark.range(0, 300_000, 1, 8).select(
