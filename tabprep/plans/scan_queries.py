@@ -34,9 +34,9 @@ def csv_multiline_scan(spark, folder):
 
 @query("csv_quoted_splits", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def csv_quoted_splits(spark, folder):
-    """The same texts from one CSV file, which is read in splits."""
+    """The same texts from CSV files, one per task that read the table; each file is read in splits."""
     source = table(spark, folder, "documents")
-    path = tables.write_csv(source.coalesce(1), shared_path(spark, "csv-quoted"))
+    path = tables.write_csv(source, shared_path(spark, "csv-quoted"))
     return quoted_csv.read_quoted_csv(spark, path, source.schema)
 
 

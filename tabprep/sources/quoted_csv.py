@@ -26,6 +26,11 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _by_split(df: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows with those of their split, in as many tasks as there are splits, so that a task gets some splits at most."""
+    return df.repartition(max(1, lines.rdd.getNumPartitions()), *_SPLIT)
+
+
 def split_states(lines: DataFrame) -> DataFrame:
     """(file, block, inside, open_block, open_record) per split: whether it begins inside quotes, and in which record.
 
@@ -37,7 +42,8 @@ def split_states(lines: DataFrame) -> DataFrame:
     order = Window.partitionBy(*_SPLIT).orderBy("_at")
     # What a split looks like if it begins outside quotes; inside, the other lines begin records.
     parity = F.sum(F.col("_odd").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = lines.select(*_SPLIT, "_odd", (F.coalesce(parity, F.lit(0)) % 2 == 0).alias("_even"))
+    dealt = _by_split(lines.select(*_SPLIT, "_at", "_odd"), lines)
+    marked = dealt.select(*_SPLIT, "_odd", (F.coalesce(parity, F.lit(0)) % 2 == 0).alias("_even"))
     sums = marked.groupBy(*_SPLIT).agg(
         F.sum(F.col("_odd").cast("long")).alias("_odds"), F.count_if("_even").alias("_if_out"), F.count_if(~F.col("_even")).alias("_if_in")
     )
@@ -62,7 +68,7 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     states = reliable_checkpoint(split_states(lines))
     order = Window.partitionBy(*_SPLIT).orderBy("_at")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    known = lines.join(F.broadcast(states), _SPLIT)
+    known = _by_split(lines, lines).join(F.broadcast(states), _SPLIT)
     odd_before = F.coalesce(F.sum(F.col("_odd").cast("long")).over(earlier), F.lit(0)) + F.col("_inside").cast("long")
     begins = known.withColumn("_begins", odd_before % 2 == 0)
     own = F.sum(F.col("_begins").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
