@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tabprep.functions.columns import ColumnRoles
 from tabprep.operators import models
+from tabprep.plans import scan_queries
 from tabprep.session import CHECKPOINT_KEY, shared_path, shared_root
 from tabprep.sources import quoted_csv, tables, versions
 
@@ -144,6 +145,41 @@ def test_copies_of_one_row_use_all_partitions(spark, monkeypatch):
     assert sizes == [625] * 8
 
 
+def test_quoted_csv_is_written_by_all_tasks_of_the_scan(spark, root, monkeypatch):
+    folder, target = f"{root}/tables", f"{root}/quoted"
+    text = F.concat(F.lit('a "q",\nline '), F.col("id").cast("string"), F.lit("\n\nend "))
+    names = ["lang", "source"]
+    docs = spark.range(0, 300, 1, 3).select(F.col("id").alias("doc_id"), text.alias("text"), *[F.lit("x").alias(n) for n in names], F.lit(5).alias("n_chars"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    monkeypatch.setattr(scan_queries, "shared_path", lambda *_: target)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "256MB")  # a task per file
+    try:
+        found = scan_queries.csv_quoted_splits(spark, folder)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert len(list(Path(target).glob("part-*.csv"))) == 3
+
+
+def test_copies_are_told_before_rows_move(spark, monkeypatch):
+    monkeypatch.setattr(tables, "KEPT_UNIT", 2_000)
+    same = spark.range(0, 20_000, 1, 4).select((F.col("id") % 4 / 3).cast("int").alias("id"), F.lit("x").alias("t"))
+    n = tables.kept_partitions(same)
+    want = tables.spread_copies(same, n).select("id", F.spark_partition_id()).collect()
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "spread", lambda *_: pytest.fail("all copies of a row go to one task"))
+        with tables.kept(same) as held:
+            assert held.select("id", F.spark_partition_id()).collect() == want and n > 4
+        with tables.kept(same, 8) as held:
+            assert held.count() == 20_000
+    monkeypatch.setattr(tables, "spread_copies", lambda *_: pytest.fail("no row has copies"))
+    with tables.kept(spark.range(20_000)) as held:
+        assert held.count() == 20_000
+    with tables.kept(same.limit(0)) as held:
+        assert held.count() == 0
+
+
 def test_forest_is_the_same_on_two_layouts(spark, monkeypatch):
     monkeypatch.setattr(tables, "KEPT_UNIT", 2_000)
     i = F.col("id")
