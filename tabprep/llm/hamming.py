@@ -25,7 +25,8 @@ RADIUS = CHUNKS * (ERRORS + 1) - 1
 FAR = 18
 #: Members of a group that one task links at once: signatures of a bucket, and sets of a class.
 BUCKET_ROWS, CLASS_ROWS = 1 << 16, 1 << 12
-_TEXT_BYTES = 4 << 20
+#: Bytes of text hashed at once, which takes many times as much memory, and rows whose sets a worker holds at once.
+_TEXT_BYTES, _SET_ROWS = 1 << 20, 1 << 10
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SYMBOL_MASKS = [((1 << BITS) - 1) << BITS * k for k in range(SYMBOLS)]
@@ -103,7 +104,8 @@ def signed_sets(docs: DataFrame, id_col: str, text: str, shingle: int = SHINGLE)
     def add(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for b in batches:
+        slices = (b.slice(low, _SET_ROWS) for b in batches for low in range(0, b.num_rows, _SET_ROWS))
+        for b in slices:
             sets = shingle_sets(b.column(1).cast(pa.binary()).to_pylist(), shingle)
             columns = [pa.array(digests(sets)), pa.array([len(s) for s in sets], pa.int64())]
             columns += [pa.array(c.copy()) for c in signatures(sets).T]

@@ -1,6 +1,7 @@
 """Near-duplicate classes against all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -100,3 +101,13 @@ def test_very_long_texts_count_whole(spark):
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicate_classes(df).collect()}
     sizes = [len(shingles(t)) for _, t in rows]
     assert found == {0: (sizes[0], 0), 1: (sizes[1], 0), 2: (sizes[2], 2)}
+
+
+def test_hashing_texts_needs_little_memory_beside_their_sets():
+    texts = [" ".join(f"w{i * j % 9973}" for j in range(400)).encode() for i in range(5000)]
+    hamming.shingle_sets(texts[:10])
+    tracemalloc.start()
+    sets = hamming.shingle_sets(texts)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(sets) == 5000 and peak - held < 45e6  # 59 MB with four times the text at once
