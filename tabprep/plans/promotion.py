@@ -8,20 +8,10 @@ from pyspark.sql import functions as F
 from tabprep.operators import evaluate, features, models, tracking
 from tabprep.operators.registry import ModelRegistry, versions as registered_versions
 from tabprep.sources import versions
-from tabprep.sources.tables import kept
 
 LOG_LABEL = "log_label"
 
 
-def _fit(df: DataFrame, formula: str, label: str, prediction: str):
-    stages = [
-        features.formula_stage(formula, label=label, handle_invalid="skip"),
-        models.linear_regression(label, prediction),
-    ]
-    with kept(df) as rows:
-        return models.fit_stages(rows, *stages)
-
-
 def promote_best(spark: SparkSession, train: DataFrame, test: DataFrame, label: str, name: str, root: str) -> DataFrame:
     """(version, stage, data_version, rmse, r2) of both models after the better one went to production.
 
@@ -41,7 +31,7 @@ def promote_best(spark: SparkSession, train: DataFrame, test: DataFrame, label:
     ]
     log, registry = tracking.RunLog(spark, root), ModelRegistry(spark, root)
     for data_version, formula, target, prediction in plans:
-        model = _fit(versions.read_version(spark, f"{root}/train", data_version), formula, target, prediction)
+        model = models.fit_formula(versions.read_version(spark, f"{root}/train", data_version), formula, target, prediction)
         # The first version of the test table serves both: a model needs no label column to score.
         scored = models.score(model, versions.read_version(spark, f"{root}/test", 0))
         if target == LOG_LABEL:

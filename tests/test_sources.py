@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.columns import ColumnRoles
-from tabprep.operators import models
+from tabprep.operators import features, models
 from tabprep.plans import scan_queries
 from tabprep.session import CHECKPOINT_KEY, shared_path, shared_root
 from tabprep.sources import quoted_csv, tables, versions
@@ -191,6 +191,34 @@ def test_forest_is_the_same_on_two_layouts(spark, monkeypatch):
     assert fits[0].stages[-1].toDebugString.split("\n")[1:] == fits[1].stages[-1].toDebugString.split("\n")[1:]
 
 
+def test_stored_frames_stay_where_they_are_read(spark):
+    """Least squares and measures follow no layout, so no row of their frames is moved unless too few tasks hold them."""
+    rows = spark.range(0, 80_000, 1, 8).select("id", F.when(F.col("id") % 9 > 0, F.col("id")).alias("k"))
+    with tables.stored(rows) as held:
+        assert held.storageLevel.useMemory and "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, held.collect())) == sorted(map(tuple, rows.collect()))
+    assert not held.storageLevel.useMemory
+    # One partition of 16 MB, most of its rows equal: dealt over the cores in turn.
+    lone = spark.range(0, 1_000_000, 1, 1).select((F.col("id") % 10 == 0).cast("long").alias("a"), F.lit(1).alias("b"))
+    with tables.stored(lone) as held:
+        sizes = [r["count"] for r in held.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 1_000_000 and len(sizes) > 1 and max(sizes) < 1.1 * min(sizes)
+    with tables.stored(rows.limit(0)) as held:
+        assert held.count() == 0
+
+
+def test_formula_fits_move_no_rows(spark):
+    """The same line as from a pipeline, over nulls and copies, and vectors are made once for all passes."""
+    rows = [(None if i % 11 == 0 else "abc"[i % 3], float(i % 7), 2.0 * (i % 7) + i % 3) for i in range(500)] * 2
+    df = spark.createDataFrame(rows, "c string, x double, y double").repartition(8)
+    with_pipeline = models.fit_stages(df, features.formula_stage("y ~ .", label="y", handle_invalid="skip"), models.linear_regression("y"))
+    model = models.fit_formula(df, "y ~ .", "y")
+    assert [type(s) for s in model.stages] == [type(s) for s in with_pipeline.stages]
+    a, b = (m.stages[-1] for m in (model, with_pipeline))
+    assert max(abs(a.coefficients.toArray() - b.coefficients.toArray())) < 1e-9 and abs(a.intercept - b.intercept) < 1e-9
+    assert a.summary.numInstances == b.summary.numInstances == len([r for r in rows if r[0]])
+
+
 def test_kept_frames_are_released(spark):
     with tables.kept(spark.range(100)) as df:
         assert df.count() == 100 and df.storageLevel.useMemory
