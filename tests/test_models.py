@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
@@ -15,6 +16,23 @@ from tabprep.operators.split import assign_folds
 ROLES = ColumnRoles(["k"], ["x", "z"])
 
 
+def test_areas_score_every_row_once(spark):
+    """Equal scores are counted where they are, so a model scores each row once; ties count by half."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def scored(x: float) -> float:
+        calls.add(1)
+        return x
+
+    rows = [(float(y), float(s)) for y, s in ((0, 1), (1, 1), (0, 2), (1, 3), (1, 2), (0, 0))] * 50
+    score = F.udf(scored, "double")
+    df = spark.createDataFrame(rows, "y double, s double").repartition(4).select("y", score("s").alias("s"))
+    found = evaluate.roc_frame(df, "y", "s").first()
+    assert tuple(found) == (300, 150, pytest.approx(7 / 9)) and calls.value == 300
+    vectors = spark.createDataFrame([(y, Vectors.dense(-s, s)) for y, s in rows], ["y", "v"])
+    assert evaluate.area_under_roc(vectors, "y", "v") == pytest.approx(7 / 9)
+
+
 @pytest.fixture(scope="module")
 def data(spark):
     """40 categories, a step in x and noise."""
