@@ -177,6 +177,27 @@ def test_runs_repeated_across_groups_of_a_host_count(spark):
         assert open_text == {k: t.split("\n")[-1] for k, t in want.items()}
 
 
+def test_groups_of_a_host_judge_like_the_whole_host(spark):
+    """Stale blocks of articles, copies of articles and partners in frames and articles, over the borders of groups."""
+    legal, menu = "all rights stay with the house that printed these pages", "a long menu of this site that every page could show"
+    rare, cross = "few of the articles of this host end with this passage here", "ends one block and begins the next one with these"
+    rows = []
+    for k in range(40):
+        body = f"<article><p>{story(k % 30)}</p>" + (f"<p>{legal}</p>" if k % 4 == 0 else "") + (f"<p>{rare}</p>" if k % 10 == 1 else "") + "</article>"
+        tail = f"<p>{menu} o{k}</p>" if k == 3 else f"<nav>{menu}</nav>" if k == 17 else ""
+        tail += f"<p>{story(9)} p{k}</p>" if k == 5 else ""
+        tail += f"<footer>f {cross[:20]}</footer><div>{cross[20:]}</div>" if k in (6, 31) else f"<p>own words of o{k}</p>" if k % 7 == 0 else ""
+        rows.append((k, "http://h.net/" + str(k), body + tail))
+    rows += [(100 + k, "http://h.net/" + str(k), rows[k][2]) for k in (3, 4, 5)]
+    rows += [(200, "http://o.net/", f"<article><p>{legal}</p></article>"), (201, "http://o.net/", None), (202, "http://h.net/e", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    host = [r for r in rows if "h.net" in r[1]]
+    want = dict(zip([r[0] for r in host], main_texts([page_blocks(r[2]) for r in host]))) | {200: legal, 201: ""}
+    assert legal not in want[0] and rare in want[1] and menu not in want[3] and "word9x" not in want[5].split("\n")[-1]
+    for size in (1, 4, 15, 500):
+        assert dict(extract_main_text(pages, group_pages=size).select("page_id", "text").collect()) == want, size
+
+
 def test_whole_pages_in_spark(spark):
     article = FRAMED.format("<article><p>same text on both pages, a long one at that</p></article>")
     rows = [(1, "http://h.net/1", article), (2, "http://h.net/2", article), (3, None, None), (4, "x", ""), (4, "x", "")]
