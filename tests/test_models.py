@@ -196,6 +196,56 @@ def test_boosting_beats_the_mean_and_repeats(data):
     assert evaluate.regression_metrics(first, "y").first()["r2"] > 0.5
 
 
+_CELLS = ColumnRoles(["k", "z"], [])
+
+
+@pytest.mark.parametrize(
+    "estimator",
+    [
+        lambda: models.decision_tree("y", maxDepth=4),
+        lambda: models.forest_regressor("y", numTrees=3, bootstrap=False, maxDepth=4, featureSubsetStrategy="onethird"),
+        lambda: models.boosted_trees("y", maxIter=4, maxDepth=3),
+    ],
+    ids=["tree", "forest", "boosting"],
+)
+def test_trees_on_categories_learn_the_same_from_means(spark, data, estimator):
+    """Equal features are one row with its weight; scores and importances are those of a fit to all rows."""
+    rows = data.withColumn("z", (F.col("z") % 5).cast("string")).withColumn("k", F.when(F.col("id") % 9 > 0, F.col("k")))
+    encoded = models.encode(rows, _CELLS)
+    every = encoded.with_model(estimator().fit(encoded.frame))
+    with models.learned_rows(encoded, _CELLS, estimator()) as few:
+        assert few.count() == encoded.frame.select("k", "z").distinct().count() < 201 and few.rdd.getNumPartitions() == 1
+        assert few.agg(F.sum(models.WEIGHT)).first()[0] == encoded.frame.count()
+    found = models.fit_trees(rows, _CELLS, estimator())
+    assert not found.stages[-1].isDefined("weightCol") and "_weight" not in str(models.estimator_params(found))
+    scores = [{r["id"]: r["prediction"] for r in models.score(m, rows).collect()} for m in (found, every)]
+    assert scores[0] == pytest.approx(scores[1], rel=1e-9) and len(scores[0]) > 1700
+    shares = [[r["importance"] for r in models.feature_importances(m, rows).collect()] for m in (found, every)]
+    assert shares[0] == pytest.approx(shares[1], rel=1e-9)
+
+
+def test_rows_are_put_together_only_where_means_are_enough(spark, data):
+    rows = data.withColumn("z", F.col("z").cast("string"))
+    for estimator in (
+        models.forest_regressor("y"),
+        models.decision_tree("y", minInstancesPerNode=2),
+        models.boosted_trees("y", subsamplingRate=0.5),
+        models.boosted_trees("y", lossType="absolute"),
+        models.decision_tree("y", weightCol="x"),
+        models.forest_classifier("y", bootstrap=False),
+    ):
+        assert not models.learns_from_means(_CELLS, estimator)
+    tree = models.decision_tree("y")
+    assert models.learns_from_means(_CELLS, tree) and not models.learns_from_means(ROLES, tree)
+    for bad in (F.lit(None).cast("double"), F.lit(float("nan"))):
+        broken = rows.withColumn("y", F.when(F.col("id") == 7, bad).otherwise(F.col("y")))
+        with pytest.raises(Exception, match="(?i)label"):
+            models.fit_trees(broken, _CELLS, tree)
+    # Both labels of k are indexed, but one row has features: there are no bins for two.
+    lone = spark.createDataFrame([("a", "u", 1.0), ("a", "u", 2.0), ("b", None, 3.0)], "k string, z string, y double")
+    assert {r["prediction"] for r in models.score(models.fit_trees(lone, _CELLS, tree), lone).collect()} == {1.5}
+
+
 def test_boosting_defaults(spark):
     boosted = models.boosted_trees("y")
     assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getMaxDepth(), boosted.getSeed()) == (100, 0.1, 4, 42)
