@@ -1,10 +1,12 @@
 import time
+from threading import Lock
 
 import numpy as np
 import pytest
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tabprep.functions.columns import ColumnRoles
 from tabprep.operators import evaluate, features, models, tune
 from tabprep.operators.label_ranks import LabelRanker, LabelRankerModel, rank_labels
 from tabprep.operators.split import assign_folds
+from tabprep.sources.tables import kept
 
 ROLES = ColumnRoles(["k"], ["x", "z"])
 
@@ -155,6 +158,39 @@ def test_folds_fit_the_encoding_once_each_and_give_the_same_metrics(spark):
         tune.cross_validate(df.where("fold <> 2"), pipeline, maps, evaluator)
 
 
+class _Together(LinearRegression):
+    lock, running, most = Lock(), 0, 0
+
+    def _fit(self, df):
+        kind = type(self)
+        with kind.lock:
+            kind.running += 1
+            kind.most = max(kind.most, kind.running)
+        time.sleep(0.3)
+        try:
+            return super()._fit(df)
+        finally:
+            with kind.lock:
+                kind.running -= 1
+
+
+def test_fits_that_fill_the_cores_do_not_crowd_each_other_out_of_memory(spark):
+    i = F.col("id")
+    df = spark.range(300).select((i % 11).cast("double").alias("x"), (i % 7).cast("double").alias("y"), (i % 3).cast("int").alias("fold"))
+    vectors = features.assembler_stage(["x"]).transform(df).select("features", "y", "fold")
+    linear = _Together(labelCol="y")
+    maps = tune.param_maps(linear, {"regParam": [0.0, 1.0, 2.0]})
+    evaluator = RegressionEvaluator(labelCol="y")
+    many = 8 * spark.sparkContext.defaultParallelism + 1
+    metrics = {}
+    for partitions, together in ((2, 3), (many, 1)):
+        _Together.most = 0
+        with kept(vectors, partitions) as rows:
+            metrics[partitions] = tune.cross_validate(rows, linear, maps, evaluator).avgMetrics
+        assert _Together.most == together
+    assert metrics[2] == pytest.approx(metrics[many], rel=1e-12)
+
+
 def test_very_many_labels_fit_about_as_fast_as_none(spark):
     i = F.col("id")
     df = spark.range(0, 300_000, 1, 8).select(
